@@ -44,28 +44,39 @@ def fill_calendar(
     get the whole period with zeros.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    sold = daily.where(F.col("date").between(first, last)).select(series, "date", *CARRIED, *ZEROED)
+    sold = daily.where(F.col("date").between(first, last)).select(
+        series, "date", *CARRIED, *ZEROED, F.lit(False).alias("_seed")
+    )
     if wanted is not None:
-        unsold = wanted.select(series, "product_code").join(sold.select(series).distinct(), series, "left_anti")
+        # One empty row per product on the first day. It sorts before any sale and
+        # is dropped as soon as a row follows, so no join tells who never sold.
+        seeds = wanted.groupBy(series).agg(F.min("product_code").alias("product_code"))
+        empty = [c for c in (*CARRIED, *ZEROED) if c != "product_code"]
         sold = sold.unionByName(
-            unsold.groupBy(series)
-            .agg(F.min("product_code").alias("product_code"))
-            .select(
+            seeds.select(
                 series,
                 first.alias("date"),
                 "product_code",
-                *[F.lit(0).cast(sold.schema[c].dataType).alias(c) for c in (*CARRIED[1:], *ZEROED)],
+                *[F.lit(None).cast(sold.schema[c].dataType).alias(c) for c in empty],
+                F.lit(True).alias("_seed"),
             )
         )
-    order = Window.partitionBy(series).orderBy("date")
+    order = Window.partitionBy(series).orderBy("date", F.desc("_seed"))
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    stretched = sold.select(
-        series,
-        F.col("date").alias("_sold"),
-        *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in CARRIED],
-        *ZEROED,
-        F.coalesce(F.date_sub(F.lead("date").over(order), 1), last).alias("_until"),
-    ).withColumn("date", F.explode(F.sequence("_sold", "_until", F.expr("interval 1 day"))))
+    following = F.lead("date").over(order)
+    stretched = (
+        sold.select(
+            series,
+            F.col("date").alias("_sold"),
+            *[F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.lit(0)).alias(c) for c in CARRIED],
+            *ZEROED,
+            "_seed",
+            following.alias("_next"),
+        )
+        .where(~F.col("_seed") | F.col("_next").isNull())
+        .withColumn("_until", F.coalesce(F.date_sub("_next", 1), last))
+        .withColumn("date", F.explode(F.sequence("_sold", "_until", F.expr("interval 1 day"))))
+    )
     on_sale_day = F.col("date") == F.col("_sold")
     return stretched.select(
         series,
@@ -88,9 +99,10 @@ def holiday_dates(
 
     One year more than asked for, so that 31 December knows the next new year.
     """
-    rows = [(month, day, name) for month, day, name in rules]
+    rows = [F.struct(F.lit(m).alias("month"), F.lit(d).alias("day"), F.lit(n).alias("name")) for m, d, n in rules]
     return (
-        spark.createDataFrame(rows, "month int, day int, name string")
+        spark.range(1)
+        .select(F.inline(F.array(*rows)))
         .withColumn("year", F.explode(F.sequence(F.lit(first_year), F.lit(last_year + 1))))
         .select(F.make_date("year", "month", "day").alias("date"), "name")
     )

@@ -74,13 +74,14 @@ def median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
             F.count(F.lit(1)).alias("n"),
         )
     )
-    group = Window.partitionBy(*keys)
+    by_price = {c: Window.partitionBy(*keys).orderBy(c) for c in ("unit_value", "cost_value")}
     ranked = priced.select(
         "*",
-        F.sum("n").over(group).alias("total"),
+        # Framed over the whole key but ordered like the first running count, to share its sort.
+        F.sum("n").over(by_price["unit_value"].rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
         *[
-            F.sum("n").over(group.orderBy(c).rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_upto")
-            for c in ("unit_value", "cost_value")
+            F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_upto")
+            for c, w in by_price.items()
         ],
     )
 
@@ -120,7 +121,8 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
     """One row per series and day where a product was sold under several barcodes.
 
     Quantities and totals add up, the promotion flag is kept if any row has it,
-    prices and rates are averaged.
+    prices and rates are averaged. The rows go straight to the partition of their
+    series, which the calendar and feature windows after this step need anyway.
     """
 
     def mean_of(c: str) -> Column:
@@ -129,7 +131,7 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
     def total(c: str) -> Column:
         return F.sum(fixed(F.col(c), DAILY_SCALE)).cast("double") / F.lit(float(DAILY_SCALE))
 
-    return daily.groupBy(series, "date").agg(
+    return daily.repartition(series).groupBy(series, "date").agg(
         F.min("product_code").alias("product_code"),
         F.max("on_promotion").alias("on_promotion"),
         total("quantity").alias("quantity"),
