@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
-from shelfcast.session import broadcast_up_to
+from shelfcast.session import broadcast_up_to, by_key
 
 CARRIED = ("product_code", "unit_value", "cost_value")
 ZEROED = ("on_promotion", "quantity", "returned_quantity", "discount", "increase", "total_value")
@@ -50,7 +50,7 @@ def fill_calendar(
     if wanted is not None:
         # One empty row per product on the first day. It sorts before any sale and
         # is dropped as soon as a row follows, so no join tells who never sold.
-        seeds = wanted.groupBy(series).agg(F.min("product_code").alias("product_code"))
+        seeds = by_key(wanted, series).groupBy(series).agg(F.min("product_code").alias("product_code"))
         empty = [c for c in (*CARRIED, *ZEROED) if c != "product_code"]
         sold = sold.unionByName(
             seeds.select(

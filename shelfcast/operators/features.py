@@ -91,6 +91,14 @@ def build_features(
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
-    """Rows without null or NaN in any column."""
-    floats = {f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in df.schema if f.dataType.typeName() in ("double", "float")}
-    return df.withColumns(floats).na.drop("any")
+    """Rows without null or NaN in any column.
+
+    One condition per column: a single "no nulls in all of these" predicate makes
+    the optimizer derive a variant for every combination of renamed columns.
+    """
+    complete = F.lit(True)
+    for f in df.schema:
+        complete = complete & F.col(f.name).isNotNull()
+        if f.dataType.typeName() in ("double", "float"):
+            complete = complete & ~F.isnan(f.name)
+    return df.where(complete)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, fixed, half_up
+from shelfcast.session import by_key
 
 
 def daily_sales(
@@ -131,7 +132,7 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
     def total(c: str) -> Column:
         return F.sum(fixed(F.col(c), DAILY_SCALE)).cast("double") / F.lit(float(DAILY_SCALE))
 
-    return daily.repartition(series).groupBy(series, "date").agg(
+    return by_key(daily, series).groupBy(series, "date").agg(
         F.min("product_code").alias("product_code"),
         F.max("on_promotion").alias("on_promotion"),
         total("quantity").alias("quantity"),

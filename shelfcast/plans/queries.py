@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import half_up
+from shelfcast.models import boosted, ridge
 from shelfcast.operators import (
     calendar,
     compare,
@@ -398,3 +399,33 @@ def events_intake(spark, sf_dir):
         .groupBy(F.to_date("ts").alias("date"), "event_type")
         .agg(F.count(F.lit(1)).alias("events"), (F.sum(cents).cast("double") / 100.0).alias("value"))
     )
+
+
+# ----------------------------------------------------------------------- models
+
+
+@query("backtest_ridge")
+def backtest_ridge(spark, sf_dir):
+    return ridge.backtest(inputs(spark, sf_dir), SPLIT, WEEKLY)
+
+
+@query("backtest_sequence")
+def backtest_sequence(spark, sf_dir):
+    return ridge.backtest_sequence(inputs(spark, sf_dir), SPLIT)
+
+
+@query("forecast_sequence")
+def forecast_sequence(spark, sf_dir):
+    return ridge.forecast_sequence(inputs(spark, sf_dir), SPLIT, YEAR)
+
+
+@query("forecast_gbt")
+def forecast_gbt(spark, sf_dir):
+    panel = boosted.panel_rows(inputs(spark, sf_dir), SPLIT, YEAR)
+    return boosted.forecast(panel, boosted.fit_base(panel, SPLIT), YEAR)
+
+
+@query("forecast_walk_forward")
+def forecast_walk_forward(spark, sf_dir):
+    panel = boosted.panel_rows(inputs(spark, sf_dir), SPLIT, YEAR)
+    return boosted.walk_forward(panel, boosted.fit_base(panel, SPLIT), YEAR)[0]

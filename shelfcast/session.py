@@ -65,3 +65,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when the side is proven to hold at most ``max_rows`` rows."""
     return F.broadcast(df) if len(df.limit(max_rows + 1).select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions by key in the session's full number of shuffle partitions.
+
+    Series grow many times after this shuffle (filled days, windows, model fits).
+    Without a count, adaptive execution packs the few bytes it sees now into too
+    few tasks. A later shuffle on the same key is left out by Spark.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
