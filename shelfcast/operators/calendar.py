@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
@@ -123,13 +123,26 @@ def flag_holidays(df: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
+def _on_rules(rules: Iterable[tuple[int, int, str]], date: Column) -> Column:
+    return (F.month(date) * 100 + F.dayofmonth(date)).isin([month * 100 + day for month, day, _ in rules])
+
+
+def flag_rules(df: DataFrame, rules: Iterable[tuple[int, int, str]] = NATIONAL_HOLIDAYS) -> DataFrame:
+    """The flags of ``flag_holidays`` straight from month and day rules, without a table."""
+    rules = list(rules)
+    return df.withColumns(
+        {
+            "holiday": _on_rules(rules, F.col("date")).cast("int"),
+            "holiday_eve": _on_rules(rules, F.date_add("date", 1)).cast("int"),
+        }
+    )
+
+
 def override_holidays(
     df: DataFrame, rules: Iterable[tuple[int, int, str]] = LOCAL_HOLIDAYS, date: str = "date", holiday: str = "holiday"
 ) -> DataFrame:
     """Set the flag on extra month and day pairs; column names match in any case."""
-    hit = F.lit(False)
-    for month, day, _ in rules:
-        hit = hit | ((F.month(date) == month) & (F.dayofmonth(date) == day))
+    hit = _on_rules(rules, F.col(date))
     flag = next(c for c in df.columns if c.lower() == holiday.lower())
     return df.withColumn(flag, F.when(hit, F.lit(1)).otherwise(F.col(flag)))
 
@@ -140,8 +153,8 @@ def overridden_rows(
     """How many rows each rule of ``override_holidays`` touches."""
     return df.agg(
         *[
-            F.count_if((F.month(date) == month) & (F.dayofmonth(date) == day)).alias(f"rows_{month:02d}_{day:02d}")
-            for month, day, _ in rules
+            F.count_if(_on_rules([rule], F.col(date))).alias(f"rows_{rule[0]:02d}_{rule[1]:02d}")
+            for rule in rules
         ]
     )
 

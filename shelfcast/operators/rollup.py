@@ -16,13 +16,15 @@ def daily_sales(
     start: str,
     end: str,
     wanted: DataFrame | None = None,
+    split_hot: bool = False,
 ) -> DataFrame:
     """Daily totals, mean discount and increase, and exact median prices.
 
     One row per day, product code and line barcode. ``wanted`` restricts the
     product codes. The header join comes first because it supplies the day; the
     product table is joined to the finished days, when a product that sells a
-    third of all lines has shrunk to one row per day and barcode.
+    third of all lines has shrunk to one row per day and barcode. ``split_hot``
+    spreads the search for the median prices of one busy day over many tasks.
     """
     days = sales.select("sale_id", F.to_date("sold_at").alias("date")).where(
         F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
@@ -32,8 +34,9 @@ def daily_sales(
         kept = kept.join(wanted.select("product_code").distinct(), "product_code", "left_semi")
     sold = kept.join(days, "sale_id").withColumnRenamed("barcode", "line_barcode")
     barcodes = products.groupBy("product_code").agg(F.min("barcode").alias("barcode"))
+    medians = split_median_days if split_hot else median_days
     return (
-        median_days(sold, ["date", "product_code", "line_barcode"])
+        medians(sold, ["date", "product_code", "line_barcode"])
         .join(barcodes, "product_code")
         .select(
             "date",
@@ -52,40 +55,32 @@ def daily_sales(
     )
 
 
-def median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
-    """Totals and exact medians of ``unit_value`` and ``cost_value`` per key.
+PRICES = ("unit_value", "cost_value")
+MOVEMENTS = ("quantity", "returned_quantity", "discount", "increase")
 
-    Lines with the same prices are combined first, on the map side as well, so
-    that a busy key is shuffled by price and only its distinct price pairs meet
-    in one partition. There a running count finds the middle ranks; the sort
-    spills, no list of values is held.
-    """
-    priced = (
+# Price cells per doubling of the price in ``split_median_days``.
+CELLS_PER_DOUBLING = 256
+
+
+def _price_pairs(sold: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines of a key with the same two prices combined, on the map side as well."""
+    return (
         sold.select(
             *keys,
-            F.coalesce("unit_value", F.lit(0.0)).alias("unit_value"),
-            F.coalesce("cost_value", F.lit(0.0)).alias("cost_value"),
+            *[F.coalesce(c, F.lit(0.0)).alias(c) for c in PRICES],
             F.when(F.col("on_promotion") == 1, 1).otherwise(0).alias("on_promotion"),
-            *[fixed(F.col(c), SOURCE_SCALE).alias(c) for c in ("quantity", "returned_quantity", "discount", "increase")],
+            *[fixed(F.col(c), SOURCE_SCALE).alias(c) for c in MOVEMENTS],
         )
-        .groupBy(*keys, "unit_value", "cost_value")
+        .groupBy(*keys, *PRICES)
         .agg(
             F.max("on_promotion").alias("on_promotion"),
-            *[F.sum(c).alias(c) for c in ("quantity", "returned_quantity", "discount", "increase")],
+            *[F.sum(c).alias(c) for c in MOVEMENTS],
             F.count(F.lit(1)).alias("n"),
         )
     )
-    by_price = {c: Window.partitionBy(*keys).orderBy(c) for c in ("unit_value", "cost_value")}
-    ranked = priced.select(
-        "*",
-        # Framed over the whole key but ordered like the first running count, to share its sort.
-        F.sum("n").over(by_price["unit_value"].rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-        *[
-            F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_upto")
-            for c, w in by_price.items()
-        ],
-    )
 
+
+def _totals() -> list[Column]:
     def mean_of(c: str) -> Column:
         return half_up(F.sum(c).cast("double") / (F.sum("n") * F.lit(float(SOURCE_SCALE))))
 
@@ -95,27 +90,98 @@ def median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
         cut = F.floor(F.abs(total) / F.lit(float(SOURCE_SCALE))) * F.signum(total).cast("bigint")
         return cut.cast("double")
 
-    return ranked.groupBy(*keys).agg(
+    return [
         F.max("on_promotion").alias("on_promotion"),
         whole("quantity").alias("quantity"),
         whole("returned_quantity").alias("returned_quantity"),
-        half_up(_middle("unit_value")).alias("unit_value"),
-        half_up(_middle("cost_value")).alias("cost_value"),
         mean_of("discount").alias("discount"),
         mean_of("increase").alias("increase"),
+    ]
+
+
+def _low_rank(total: Column) -> Column:
+    return F.floor((total + 1) / 2)
+
+
+def _high_rank(total: Column) -> Column:
+    """Equal to the low rank for an odd count."""
+    return F.floor(total / 2) + 1
+
+
+def _holds(rank: Column, upto: Column, n: Column) -> Column:
+    """Whether the ``n`` rows that end at running count ``upto`` include ``rank``."""
+    return (upto - n < rank) & (rank <= upto)
+
+
+def median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals and exact medians of ``unit_value`` and ``cost_value`` per key.
+
+    Lines with the same prices are combined first, so a busy key is shuffled by
+    price and only its distinct price pairs meet in one partition. There a running
+    count finds the middle ranks; the sort spills, no list of values is held.
+    """
+    by_price = {c: Window.partitionBy(*keys).orderBy(c) for c in PRICES}
+    everything = by_price["unit_value"].rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = _price_pairs(sold, keys).select(
+        "*",
+        # Framed over the whole key but ordered like the first running count, to share its sort.
+        F.sum("n").over(everything).alias("total"),
+        *[
+            F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_upto")
+            for c, w in by_price.items()
+        ],
     )
 
+    def at(rank: Column, c: str) -> Column:
+        return F.max(F.when(_holds(rank, F.col(f"{c}_upto"), F.col("n")), F.col(c)))
+
+    total = F.col("total")
+    return ranked.groupBy(*keys).agg(
+        *_totals(),
+        *[half_up((at(_low_rank(total), c) + at(_high_rank(total), c)) / 2).alias(c) for c in PRICES],
+    )
 
-def _middle(c: str) -> Column:
-    """Mean of the two middle values; both ranks are the same for an odd count."""
 
-    def at(rank: Column) -> Column:
-        upto = F.col(f"{c}_upto")
-        return F.max(F.when((upto - F.col("n") < rank) & (rank <= upto), F.col(c)))
+def split_median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
+    """As ``median_days`` for keys with more distinct prices than one task should sort.
 
-    low = F.floor((F.col("total") + 1) / 2)
-    high = F.floor(F.col("total") / 2) + 1
-    return (at(low) + at(high)) / 2
+    Prices are counted in cells of nearly equal prices. The cells of a key, whose
+    number does not grow with the lines, tell where the middle ranks lie, and only
+    the prices inside those cells are ordered. No step brings a whole key to one
+    task; the price is more shuffles, so this is for stores known to have such days.
+    """
+    pairs = _price_pairs(sold, keys)
+    result = pairs.groupBy(*keys).agg(*_totals())
+    for c in PRICES:
+        result = result.join(_middle_price(pairs, keys, c), keys)
+    return result
+
+
+def _middle_price(pairs: DataFrame, keys: list[str], c: str) -> DataFrame:
+    price = F.col(c)
+    cell = F.signum(price) * F.floor(F.log2(F.abs(price) + 1) * CELLS_PER_DOUBLING)
+    counts = pairs.groupBy(*keys, cell.cast("bigint").alias("cell"), c).agg(F.sum("n").alias("n"))
+    in_order = Window.partitionBy(*keys).orderBy("cell")
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total, upto, n = F.col("total"), F.col("upto"), F.col("n")
+    low, high = _low_rank(total), _high_rank(total)
+    middle_cells = (
+        counts.groupBy(*keys, "cell")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            *keys,
+            "cell",
+            "n",
+            F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+            F.sum("n").over(everything).alias("total"),
+        )
+        .where(_holds(low, upto, n) | _holds(high, upto, n))
+        .select(*keys, "cell", "total", (upto - n).alias("before"))
+    )
+    inside = Window.partitionBy(*keys, "cell").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(middle_cells, [*keys, "cell"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+    ends = [F.max(F.when(_holds(rank, upto, n), price)) for rank in (low, high)]
+    return ranked.groupBy(*keys).agg(half_up((ends[0] + ends[1]) / 2).alias(c))
 
 
 def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame:

@@ -28,15 +28,15 @@ def dense(store: Store, start: str = START, end: str = END, wanted: DataFrame |
     return calendar.fill_calendar(merged(store, start, end, wanted), start, end, wanted=products)
 
 
-def with_holidays(series: DataFrame, start: str = START, end: str = END, holidays: DataFrame | None = None) -> DataFrame:
-    if holidays is None:
-        holidays = calendar.holiday_dates(series.sparkSession, int(start[:4]), int(end[:4]))
-    return calendar.override_holidays(calendar.flag_holidays(series, holidays))
+def with_holidays(series: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Flags from a holiday table, or from the national rules, with the local days set."""
+    flagged = calendar.flag_rules(series) if holidays is None else calendar.flag_holidays(series, holidays)
+    return calendar.override_holidays(flagged)
 
 
 def model_inputs(store: Store, start: str = START, end: str = END, drop_incomplete: bool = True) -> DataFrame:
     """Features of all products; the eve flag is not a model input."""
-    series = with_holidays(dense(store, start, end), start, end).drop("holiday_eve", "product_code")
+    series = with_holidays(dense(store, start, end)).drop("holiday_eve", "product_code")
     return features.build_features(series, drop_incomplete=drop_incomplete)
 
 

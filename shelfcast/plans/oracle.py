@@ -321,6 +321,7 @@ top AS (
     weekly = _base() + "," + _windows(365, 7, 7, "train")
     return {
         "daily_sales": _tidy("SELECT * FROM daily", AMOUNTS, ["date"], ctes=_base(upto="daily")),
+        "daily_sales_split": _tidy("SELECT * FROM daily", AMOUNTS, ["date"], ctes=_base(upto="daily")),
         "daily_sales_wanted": _tidy(
             "SELECT * FROM daily",
             AMOUNTS,

@@ -89,6 +89,13 @@ def daily_sales(spark, sf_dir):
     return demand.daily(store(spark, sf_dir))
 
 
+@query("daily_sales_split")
+def daily_sales_split(spark, sf_dir):
+    """The same result with the medians searched in price cells."""
+    st = store(spark, sf_dir)
+    return rollup.daily_sales(st.lines, st.sales, st.products, START, END, split_hot=True)
+
+
 @query("daily_sales_wanted")
 def daily_sales_wanted(spark, sf_dir):
     """Only the products of the most representative parts."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import calendar
 from shelfcast.operators.metrics import daily_errors
 from shelfcast.schemas import EXPORT_COLUMNS
+from shelfcast.session import materialise
 
 # Tables replace only the partitions they bring; everything else at the path stays.
 REPLACE_PARTITIONS = {"partitionOverwriteMode": "dynamic"}
@@ -49,21 +50,36 @@ def write_consolidated(dense: DataFrame, path: str, fmt: str = "csv", single_fil
     (out.coalesce(1) if single_file else out).write.mode("errorifexists").option("header", True).format(fmt).save(path)
 
 
-def write_predictions(predictions: DataFrame, path: str) -> None:
+def write_predictions(predictions: DataFrame, path: str, reset: bool = False) -> None:
     """Daily predictions with their errors by model, year and month.
 
-    Writing a model's months again replaces them and leaves other models alone.
+    Writing a model's months again replaces them and leaves other months and
+    models alone; with ``reset`` all older months of the models at hand go.
     Products stay a column, so a month has few large files.
     """
-    (
+    out = (
         daily_errors(predictions)
         .withColumns({"year": F.year("date"), "month": F.month("date")})
-        .repartition("model", "year", "month", F.pmod(F.xxhash64("barcode"), F.lit(_writers(predictions))))
-        .sortWithinPartitions("model", "year", "month", "barcode", "date")
-        .write.mode("overwrite")
-        .options(**REPLACE_PARTITIONS)
-        .partitionBy("model", "year", "month")
-        .parquet(path)
+        .withColumn("_file", F.pmod(F.xxhash64("barcode"), F.lit(_writers(predictions))))
+    )
+    if reset:
+        # The models of one run are a handful of names; each has its own folder.
+        out = materialise(out, "reset")
+        for row in out.select("model").distinct().toLocalIterator():
+            _by_month(out.where(F.col("model") == row.model).drop("model")).write.mode("overwrite").partitionBy(
+                "year", "month"
+            ).parquet(f"{path}/model={row.model}")
+        return
+    _by_month(out, "model").write.mode("overwrite").options(**REPLACE_PARTITIONS).partitionBy(
+        "model", "year", "month"
+    ).parquet(path)
+
+
+def _by_month(df: DataFrame, *keys: str) -> DataFrame:
+    return (
+        df.repartition(*keys, "year", "month", "_file")
+        .sortWithinPartitions(*keys, "year", "month", "barcode", "date")
+        .drop("_file")
     )
 
 

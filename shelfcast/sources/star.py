@@ -24,8 +24,22 @@ class Store:
     products: DataFrame
 
 
+# Given types save a look into the files before every read.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def part_barcode(partkey: Column) -> Column:
@@ -49,19 +63,24 @@ def brand_code(brand: Column) -> Column:
 def open_store(spark: SparkSession, folder: str, product: str = "brand") -> Store:
     """The tables with ``product`` = ``brand``, ``supplier`` or ``part``."""
     part = table(spark, folder, "part")
-    items = table(spark, folder, "lineitem").join(
-        part.select("p_partkey", "p_retailprice", "p_brand"), F.col("l_partkey") == F.col("p_partkey")
+    # Barcode and brand are worked out once per part, not once per line.
+    parts = part.select(
+        "p_partkey",
+        F.col("p_retailprice").alias("cost_value"),
+        part_barcode(F.col("p_partkey")).alias("barcode"),
+        brand_code(F.col("p_brand")).alias("brand_code"),
     )
-    code = {"brand": brand_code(F.col("p_brand")), "supplier": F.col("l_suppkey"), "part": F.col("l_partkey")}[product]
+    items = table(spark, folder, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    code = {"brand": "brand_code", "supplier": "l_suppkey", "part": "l_partkey"}[product]
     lines = items.select(
         F.col("l_orderkey").alias("sale_id"),
-        code.alias("product_code"),
-        part_barcode(F.col("l_partkey")).alias("barcode"),
+        F.col(code).alias("product_code"),
+        "barcode",
         (F.col("l_discount") >= 0.08).cast("int").alias("on_promotion"),
         F.col("l_quantity").alias("quantity"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0).alias("returned_quantity"),
         F.try_divide("l_extendedprice", "l_quantity").alias("unit_value"),
-        F.col("p_retailprice").alias("cost_value"),
+        "cost_value",
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("increase"),
     )
