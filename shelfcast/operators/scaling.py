@@ -80,7 +80,7 @@ def leakage_correlations(
     blocks and the head of the block after them, instead of copying each row into
     the many windows that hold it. Values are centred on the series mean first,
     which keeps the sums of squares accurate. Constant columns and targets give
-    null and are skipped by the reader, as is ``suspicious``.
+    null and are never suspicious.
     """
     columns = list(columns)
     whole = Window.partitionBy(series)
@@ -111,14 +111,15 @@ def leakage_correlations(
         *[f(F.when(in_head, v)).alias(f"{k}_head") for k, (f, v) in moments.items()],
     )
     order = Window.partitionBy(series, "feature").orderBy("window_id")
-    span = order.rowsBetween(0, blocks_per_window - 1)
 
     def over_window(name: str) -> Column:
         f = moments[name][0]
-        body = f(name).over(span)
-        if not head:
+        tail = F.lead(f"{name}_head", blocks_per_window).over(order) if head else None
+        if not blocks_per_window:
+            return F.col(f"{name}_head")
+        body = f(name).over(order.rowsBetween(0, blocks_per_window - 1))
+        if tail is None:
             return body
-        tail = F.lead(f"{name}_head", blocks_per_window).over(order)
         if f is F.sum:
             return body + tail
         return F.least(body, tail) if f is F.min else F.greatest(body, tail)
