@@ -77,13 +77,14 @@ def build_features(
 ) -> DataFrame:
     """All model inputs; ``extra`` steps are applied before incomplete rows go.
 
-    ``total_value`` is left out because it contains the target.
+    ``total_value`` is left out because it contains the target. The calendar comes
+    last, so that the window sorts and buffers narrow rows.
     """
     df = (
         dense.drop("total_value")
-        .transform(calendar_features)
         .transform(history_features, series)
         .transform(rate_features)
+        .transform(calendar_features)
     )
     for step in extra:
         df = df.transform(step)

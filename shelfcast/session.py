@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if named:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(named)
         return named
     if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
