@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
@@ -91,8 +91,8 @@ def build_features(
     return complete_rows(df) if drop_incomplete else df
 
 
-def complete_rows(df: DataFrame) -> DataFrame:
-    """Rows without null or NaN in any column.
+def is_complete(df: DataFrame) -> Column:
+    """Whether a row has no null or NaN in any column.
 
     One condition per column: a single "no nulls in all of these" predicate makes
     the optimizer derive a variant for every combination of renamed columns.
@@ -102,4 +102,18 @@ def complete_rows(df: DataFrame) -> DataFrame:
         complete = complete & F.col(f.name).isNotNull()
         if f.dataType.typeName() in ("double", "float"):
             complete = complete & ~F.isnan(f.name)
-    return df.where(complete)
+    return complete
+
+
+def complete_rows(df: DataFrame) -> DataFrame:
+    return df.where(is_complete(df))
+
+
+def rows_per_series(all_rows: DataFrame, series: str = "barcode") -> DataFrame:
+    """Days and complete rows of each series, from features with incomplete rows kept.
+
+    A product that never sold has no usable row: its discount rate is undefined.
+    """
+    return all_rows.groupBy(series).agg(
+        F.count(F.lit(1)).alias("days"), F.count_if(is_complete(all_rows)).alias("complete_rows")
+    )

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions.dates import parse_day
 from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, fixed, half_up
 from shelfcast.session import by_key
 
 
+def sale_days(sales: DataFrame) -> DataFrame:
+    """The day of each sale; text that is no date gives null."""
+    sold_at = F.col("sold_at")
+    is_text = sales.schema["sold_at"].dataType.typeName() == "string"
+    return sales.select("sale_id", (parse_day(sold_at) if is_text else F.to_date(sold_at)).alias("date"))
+
+
 def daily_sales(
     lines: DataFrame,
     sales: DataFrame,
@@ -26,9 +34,7 @@ def daily_sales(
     third of all lines has shrunk to one row per day and barcode. ``split_hot``
     spreads the search for the median prices of one busy day over many tasks.
     """
-    days = sales.select("sale_id", F.to_date("sold_at").alias("date")).where(
-        F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    )
+    days = sale_days(sales).where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     kept = lines.where(F.col("barcode").isNotNull())
     if wanted is not None:
         kept = kept.join(wanted.select("product_code").distinct(), "product_code", "left_semi")
@@ -217,7 +223,7 @@ def quality_counts(lines: DataFrame, sales: DataFrame, products: DataFrame, star
     Every join side is aggregated or semi-joined on its key, so each count is one
     partial aggregation.
     """
-    days = sales.select("sale_id", F.to_date("sold_at").alias("date"))
+    days = sale_days(sales)
     known = products.select("product_code").distinct().withColumn("_known", F.lit(1))
     joined = lines.join(days, "sale_id", "left").join(known, "product_code", "left")
     inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))

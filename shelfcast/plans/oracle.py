@@ -393,6 +393,12 @@ FROM lines l LEFT JOIN orders ON sale_id = o_orderkey LEFT JOIN products p ON l.
             ctes=_base(),
         ),
         "features_clean": _tidy("SELECT * FROM features", FEATURE_NUMBERS, ["date"], ctes=_base()),
+        "rows_per_series": _tidy(
+            """SELECT d.barcode, d.days, coalesce(f.n, 0) AS complete_rows
+FROM (SELECT barcode, count(*) AS days FROM dense GROUP BY barcode) d
+LEFT JOIN (SELECT barcode, count(*) AS n FROM features GROUP BY barcode) f ON d.barcode = f.barcode""",
+            ctes=_base("supplier", "features", "1996-01-01", "1996-12-31", "on_promotion = 1 AND returned_quantity > 40"),
+        ),
         "train_forecast_split": _tidy(
             f"""SELECT barcode, date, quantity, CASE WHEN date < DATE '{SPLIT}' THEN 'train' ELSE 'forecast' END AS part
 FROM features WHERE date < DATE '{SPLIT}' OR year(date) = {YEAR}""",

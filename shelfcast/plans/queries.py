@@ -113,12 +113,16 @@ def calendar_dense(spark, sf_dir):
     return demand.dense(store(spark, sf_dir))
 
 
+def _promoted(spark, sf_dir):
+    """Suppliers with only their promoted lines that came back in large numbers: some have none."""
+    st = store(spark, sf_dir, "supplier")
+    return star.Store(st.sales, st.lines.where("on_promotion = 1 and returned_quantity > 40"), st.products)
+
+
 @query("calendar_unsold")
 def calendar_unsold(spark, sf_dir):
-    """Suppliers' series of promoted lines in one year; suppliers without any have zeros all year."""
-    st = store(spark, sf_dir, "supplier")
-    promoted = star.Store(st.sales, st.lines.where("on_promotion = 1 and returned_quantity > 40"), st.products)
-    return demand.dense(promoted, "1996-01-01", "1996-12-31")
+    """Suppliers without a sale in the year have zeros on every day."""
+    return demand.dense(_promoted(spark, sf_dir), "1996-01-01", "1996-12-31")
 
 
 @query("holiday_flags")
@@ -196,6 +200,13 @@ def features_clean(spark, sf_dir):
     return inputs(spark, sf_dir)
 
 
+@query("rows_per_series")
+def rows_per_series(spark, sf_dir):
+    """Days and usable rows per supplier; those without a sale have no usable row."""
+    rows = demand.model_inputs(_promoted(spark, sf_dir), "1996-01-01", "1996-12-31", drop_incomplete=False)
+    return features.rows_per_series(rows)
+
+
 @query("train_forecast_split")
 def train_forecast_split(spark, sf_dir):
     before, year = folds.split_by_date(inputs(spark, sf_dir).select("barcode", "date", "quantity"), SPLIT, YEAR)

@@ -118,3 +118,6 @@ FEATURES = (
     "m_sin",
     "m_cos",
 )
+
+# Without the returns of the forecast day itself, which are not known in advance.
+SAFE_FEATURES = tuple(c for c in FEATURES if c != "returned_quantity")

@@ -190,3 +190,13 @@ def test_dense_series_has_no_gaps_and_keeps_quantities(spark, sold):
         first = min(day(d) for d, x, _ in sold if x == p)
         assert series == [first + dt.timedelta(n) for n in range((day(10, 2) - first).days + 1)]
         assert sum(r.quantity for r in got if r.barcode == f"700000{p}") == sum(q for _, x, q in sold if x == p)
+
+
+def test_text_dates(spark):
+    sales = spark.createDataFrame([(1, "2024-01-03 10:00:00"), (2, "2024-01-04"), (3, "soon")], "sale_id bigint, sold_at string")
+    assert {r.sale_id: r.date for r in rollup.sale_days(sales).collect()} == {1: day(3), 2: day(4), 3: None}
+    one = (1, "a", 0, 1.0, 0.0, 1.0, 1.0, 0.0, 0.0)
+    lines = spark.createDataFrame([(1, *one), (3, *one), (9, *one)], schemas.LINES)
+    products = spark.createDataFrame([(1, "7000001")], schemas.PRODUCTS)
+    q = rollup.quality_counts(lines, sales, products, "2024-01-01", "2024-12-31").first()
+    assert (q.lines, q.without_date, q.outside_period) == (3, 2, 0)
