@@ -82,7 +82,7 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
     def windows(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         x, y = pdf[columns].to_numpy(float), pdf["quantity"].to_numpy(float)
-        out = []
+        rows, ids, forecasts, penalties = [], [], [], []
         for w, start in enumerate(range(0, len(x) - fold.length + 1, fold.step)):
             middle, stop = start + fold.train, start + fold.length
             xa, ya, xb, first = x[start:middle], y[start:middle], x[middle:stop], middle
@@ -93,22 +93,22 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
             if not len(xa) or not len(xb):
                 continue
             beta, penalty = fit(with_intercept(xa), ya)
-            rows = pdf.iloc[first:stop]
-            out.append(
-                pd.DataFrame(
-                    {
-                        series: rows[series],
-                        "window_id": w,
-                        "date": rows["date"],
-                        "real": rows["quantity"],
-                        "forecast": with_intercept(xb) @ beta,
-                        "penalty": penalty,
-                    }
-                )
-            )
-        if not out:
-            return pd.DataFrame(columns=[series, "window_id", "date", "real", "forecast", "penalty"])
-        return pd.concat(out)
+            rows.append(np.arange(first, stop))
+            ids.append(np.full(len(xb), w))
+            forecasts.append(with_intercept(xb) @ beta)
+            penalties.append(np.full(len(xb), penalty))
+        index = np.concatenate(rows) if rows else np.empty(0, int)
+        test = pdf[[series, "date", "quantity"]].iloc[index].reset_index(drop=True)
+        return pd.DataFrame(
+            {
+                series: test[series],
+                "window_id": np.concatenate(ids) if ids else [],
+                "date": test["date"],
+                "real": test["quantity"],
+                "forecast": np.concatenate(forecasts) if forecasts else [],
+                "penalty": np.concatenate(penalties) if penalties else [],
+            }
+        )
 
     schema = f"{series} string, window_id int, date date, real double, forecast double, penalty double"
     result = by_key(scaled, series).groupBy(series).applyInPandas(windows, schema)
