@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import clip_low
 from shelfcast.operators.folds import validation_split
+from shelfcast.operators.scaling import scale
 from shelfcast.schemas import FEATURES
 from shelfcast.session import materialise, shared_dir
 from shelfcast.sinks import models as saved
@@ -33,7 +34,7 @@ class Settings:
     rounds: int = 20
     rate: float = 0.1
     update_rounds: int = 2
-    update_weight: float = 0.3
+    update_weight: float = 0.1
 
 
 @dataclass
@@ -61,8 +62,6 @@ def panel_rows(
 
     Every boosting round and month reads these rows again.
     """
-    from shelfcast.operators.scaling import scale
-
     columns = list(columns)
     before = F.col("date") < F.lit(split).cast("date")
     whole = Window.partitionBy(series)

@@ -79,12 +79,15 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
     columns = list(columns)
     scaled = scaled_inputs(inputs, split, columns, series).where(F.col("date") < F.lit(split).cast("date"))
 
+    # Plain numbers, so that the task carries no class of this package.
+    train, length, step = fold.train, fold.length, fold.step
+
     def windows(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         x, y = pdf[columns].to_numpy(float), pdf["quantity"].to_numpy(float)
         rows, ids, forecasts, penalties = [], [], [], []
-        for w, start in enumerate(range(0, len(x) - fold.length + 1, fold.step)):
-            middle, stop = start + fold.train, start + fold.length
+        for w, start in enumerate(range(0, len(x) - length + 1, step)):
+            middle, stop = start + train, start + length
             xa, ya, xb, first = x[start:middle], y[start:middle], x[middle:stop], middle
             if sequence_steps:
                 # Sequences never reach over the border between train and test part.
@@ -187,4 +190,4 @@ def forecast_sequence(
     rows = scaled_inputs(inputs, split, columns, series).where(wanted)
     result = by_key(rows, series).groupBy(series).applyInPandas(walk, f"{series} string, date date, real double, forecast double")
     forecast = clip_low(F.col("forecast")) if clip else F.col("forecast")
-    return result.select(F.lit("sequence").alias("model"), series, "date", "real", forecast.alias("forecast"))
+    return result.na.drop(subset=["forecast"]).select(F.lit("sequence").alias("model"), series, "date", "real", forecast.alias("forecast"))

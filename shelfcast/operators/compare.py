@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import errors
-from shelfcast.operators.metrics import MEASURES
+from shelfcast.operators.metrics import MEASURES, pooled_metrics
 
 # Accepted names of a forecast column, in order of preference.
 FORECAST_NAMES = ("forecast", "prediction_{model}", "prediction", "predicted", "yhat")
@@ -91,8 +91,6 @@ def chart_series(merged: DataFrame, models: Iterable[str], series: str = "barcod
 
 def compare(predictions: DataFrame, models: Iterable[str], series: str = "barcode") -> dict[str, DataFrame]:
     """Everything that is kept of a comparison: scores, predictions, yearly sums, daily errors."""
-    from shelfcast.operators.metrics import pooled_metrics
-
     models = list(models)
     merged = merge_models(predictions, models, series)
     return {

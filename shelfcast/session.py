@@ -66,7 +66,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when the side is proven to hold at most ``max_rows`` rows."""
-    return F.broadcast(df) if len(df.limit(max_rows + 1).select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def by_key(df: DataFrame, *keys: str) -> DataFrame:

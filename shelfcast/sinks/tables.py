@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators import calendar
@@ -21,19 +21,20 @@ def export_series(dense: DataFrame) -> DataFrame:
     return dense.select(*[F.col(new).alias(old) for new, old in EXPORT_COLUMNS.items()])
 
 
-def write_series(dense: DataFrame, path: str, market: str, fmt: str = "csv") -> None:
+def write_series(dense: DataFrame, path: str, market: str, fmt: str = "csv", per_product: bool = True) -> None:
     """One folder and file per product, below the market's folder.
 
     A series is at most one calendar long, so one task writes it; products are
-    spread over the tasks by hash.
+    spread over the tasks by hash. With ``per_product=False`` a file holds many
+    whole series, for stores with more products than a file system likes folders.
     """
-    out = export_series(dense).withColumns({"market": F.lit(market), "product": F.col("Barcode")})
+    out = export_series(dense).withColumns({"product": F.col("Barcode"), "market": F.lit(market)})
     (
         out.repartition("product")
         .sortWithinPartitions("product", "Date")
         .write.mode("overwrite")
         .options(header=True, **REPLACE_PARTITIONS)
-        .partitionBy("market", "product")
+        .partitionBy("market", *(["product"] if per_product else []))
         .format(fmt)
         .save(path)
     )
@@ -57,11 +58,7 @@ def write_predictions(predictions: DataFrame, path: str, reset: bool = False) ->
     models alone; with ``reset`` all older months of the models at hand go.
     Products stay a column, so a month has few large files.
     """
-    out = (
-        daily_errors(predictions)
-        .withColumns({"year": F.year("date"), "month": F.month("date")})
-        .withColumn("_file", F.pmod(F.xxhash64("barcode"), F.lit(_writers(predictions))))
-    )
+    out = _with_file(daily_errors(predictions).withColumns({"year": F.year("date"), "month": F.month("date")}))
     if reset:
         # The models of one run are a handful of names; each has its own folder.
         out = materialise(out, "reset")
@@ -83,23 +80,20 @@ def _by_month(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _writers(df: DataFrame) -> int:
-    """Files per month: enough for all tasks to share one month's rows."""
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 12)
+def _with_file(df: DataFrame) -> DataFrame:
+    """Number the files of a month by product, enough for all tasks to share one month's rows."""
+    files = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 12)
+    return df.withColumn("_file", F.pmod(F.xxhash64("barcode"), F.lit(files)))
 
 
 def write_comparison(results: Mapping[str, DataFrame], path: str) -> None:
     """Scores, predictions, yearly sums and daily errors (by year and month)."""
     for name in ("metrics", "predictions", "annual"):
         results[name].write.mode("overwrite").parquet(f"{path}/{name}")
-    (
-        results["daily"]
-        .repartition("year", "month")
-        .write.mode("overwrite")
-        .options(**REPLACE_PARTITIONS)
-        .partitionBy("year", "month")
-        .parquet(f"{path}/daily")
-    )
+    daily = results["daily"]
+    _by_month(_with_file(daily)).write.mode("overwrite").options(**REPLACE_PARTITIONS).partitionBy(
+        "year", "month"
+    ).parquet(f"{path}/daily")
 
 
 def write_report(lines: DataFrame, path: str) -> None:
@@ -123,5 +117,4 @@ def patch_series(
     df: DataFrame, path: str, rules=calendar.LOCAL_HOLIDAYS, date: str = "Date", holiday: str = "Holiday", fmt: str = "csv"
 ) -> None:
     """Set extra holidays and write the result as a new version; the input is not touched."""
-    out: Column | DataFrame = calendar.override_holidays(df, rules, date, holiday)
-    out.write.mode("errorifexists").option("header", True).format(fmt).save(path)
+    calendar.override_holidays(df, rules, date, holiday).write.mode("errorifexists").option("header", True).format(fmt).save(path)

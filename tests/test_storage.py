@@ -57,6 +57,9 @@ def test_series_round_trip_and_patch(spark, tmp_path):
     assert back.count() == 6 and back.where("product = '7'").count() == 3
     assert {r.market for r in back.collect()} == {"m1"}
     assert len(list((tmp_path / "out" / "market=m1" / "product=7").glob("*.csv"))) == 1
+    shared = str(tmp_path / "shared")
+    tables.write_series(dense, shared, "m1", per_product=False)
+    assert sorted(map(tuple, files.read_written_series(spark, shared).select(*back.columns).collect())) == sorted(map(tuple, back.collect()))
     tables.write_consolidated(dense, str(tmp_path / "all"), single_file=True)
     assert len(list((tmp_path / "all").glob("*.csv"))) == 1
     october = back.withColumn("Date", F.lit(dt.date(2024, 10, 18)))
