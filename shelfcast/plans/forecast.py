@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.models import boosted, ridge
-from shelfcast.operators import compare
+from shelfcast.operators import compare, features
+from shelfcast.operators.metrics import daily_errors
 from shelfcast.sinks import tables
 from shelfcast.sources.predictions import read_predictions
+from shelfcast.streaming import intake
 
 RUN, REUSE, SKIP = "run", "reuse", "skip"
 
@@ -81,3 +83,24 @@ def run(
     if plan.comparison and len(out) > 1:
         tables.write_comparison(compare.compare(compare.stack_models(out), list(out)), plan.comparison)
     return out
+
+
+def forecast_new_files(
+    spark: SparkSession,
+    folder: str,
+    path: str,
+    checkpoint: str,
+    split: str,
+    year: int,
+    files_per_batch: int | None = None,
+) -> None:
+    """Forecast the products whose series files arrived since the last call.
+
+    Uses the sequence model, whose products do not depend on one another. The
+    checkpoint remembers the files, so nothing has to be moved out of the folder.
+    """
+
+    def step(batch: DataFrame) -> DataFrame:
+        return daily_errors(ridge.forecast_sequence(features.build_features(batch), split, year))
+
+    intake.process_available(intake.new_series(spark, folder, files_per_batch), path, checkpoint, step)

@@ -40,6 +40,12 @@ def read_table(
     return reader.load()
 
 
+def read_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None) -> DataFrame:
+    """The result of a query that the database runs itself."""
+    reader = spark.read.format("jdbc").option("url", url).option("query", query)
+    return reader.options(**(properties or {})).load()
+
+
 def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """The columns of ``names`` under their new names, found in any letter case."""
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])

@@ -203,3 +203,21 @@ def test_forecast_plan(spark, inputs, tmp_path):
 def test_unknown_mode():
     with pytest.raises(ValueError, match="mode"):
         forecast.ModelOptions("later")
+
+
+def test_new_files_are_forecast_once(spark, tmp_path):
+    raw, args = tmp_path / "raw", (str(tmp_path / "out"), str(tmp_path / "ckpt"), "2024-01-01", 2024)
+    raw.mkdir()
+
+    def product(barcode):
+        rng = np.random.default_rng(int(barcode))
+        days = pd.date_range("2023-06-01", "2024-02-10").date
+        rows = [f"{d},{barcode},0,{rng.integers(0, 9)}.0,0.0,0.5,0.0,1.0,{rng.integers(2, 5)}.0,1.0,0" for d in days]
+        (raw / f"produto_{barcode}.csv").write_text("\n".join([HEADER, *rows]) + "\n")
+
+    product("1")
+    forecast.forecast_new_files(spark, str(raw), *args)
+    product("2")
+    forecast.forecast_new_files(spark, str(raw), *args)
+    got = spark.read.parquet(args[0]).groupBy("barcode").agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("batch"))
+    assert {tuple(r) for r in got.collect()} == {("1", 41, 0), ("2", 41, 1)}
