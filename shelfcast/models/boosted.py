@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import clip_low
-from shelfcast.operators.folds import validation_split
 from shelfcast.operators.scaling import scale
 from shelfcast.schemas import FEATURES
 from shelfcast.session import materialise, shared_dir
@@ -26,6 +25,9 @@ from shelfcast.sinks import models as saved
 PUBLISHED = {"maxDepth": 5, "maxBins": 64, "subsamplingRate": 0.8, "minInstancesPerNode": 3, "seed": 42}
 FEATURE_SHARE = "0.8"
 
+# Share of a series' train rows that trees are fitted on; the rest decides when to stop.
+TRAIN_SHARE = 0.8
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -71,11 +73,14 @@ def panel_rows(
         scale(inputs.select(series, "date", "quantity", *columns), columns, before, series)
         .withColumns({"_level": F.avg(known).over(whole), "_spread": F.when(spread == 0, F.lit(1.0)).otherwise(spread)})
         .withColumn("z_quantity", (F.col("quantity") - F.col("_level")) / F.col("_spread"))
-        .where(F.col("_level").isNotNull() & (before | (F.year("date") == year)))
+        .withColumn("_train_rows", F.count_if(before).over(whole))
+        # Train rows come first in date order, so a row's number is its place among them.
+        .withColumn("_place", F.row_number().over(whole.orderBy("date")) - 1)
+        .withColumn("is_validation", before & (F.col("_place") >= F.floor(F.col("_train_rows") * TRAIN_SHARE)))
+        .where((F.col("_train_rows") > 0) & (before | (F.year("date") == year)))
+        .drop("_train_rows", "_place")
     )
-    train = validation_split(rows.where(before), 0.8, series)
-    rest = rows.where(~before).withColumn("is_validation", F.lit(False))
-    return materialise(train.unionByName(rest), "panel")
+    return materialise(rows, "panel")
 
 
 def _regressor(settings: Settings, rounds: int, label: str) -> GBTRegressor:
