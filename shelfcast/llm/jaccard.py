@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
+from shelfcast.llm.masks import in_mask, mask_of
 from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
-MASK_BITS = 22  # fixed size of the token and document filters sent to tasks: 512 KB each
 ORDERS = 3
 CENTRES = 2  # further stars in a list before its remaining pairs are compared, and that comparison
 SALTS = (0x0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
@@ -81,19 +81,6 @@ def prefix(tokens: np.ndarray, order: int, frequent: np.ndarray | None, percent:
     return tokens[np.argpartition(rank, length - 1)[:length]]
 
 
-def mask_of(values: DataFrame, column: str) -> np.ndarray:
-    """A bit per hash bucket of the values: a filter of fixed size, whatever the number of values."""
-    bucket = F.expr(f"{column} & {(1 << MASK_BITS) - 1}L").alias("bucket")
-    bits = np.zeros(1 << MASK_BITS, bool)
-    bits[values.select(bucket).distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
-    return np.packbits(bits)
-
-
-def in_mask(values: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    bucket = values & ((1 << MASK_BITS) - 1)
-    return (mask[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
-
-
 def _nodes(percent: int, size: int):
     """Each document's node, set size and prefix under the first order."""
 
