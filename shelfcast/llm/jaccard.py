@@ -5,15 +5,17 @@ Two sets with Jaccard similarity ``t`` or more share a token among the first
 orders are used: one by hash, and two that put frequent tokens last. A pair is
 verified only if it shares a prefix token under each of them.
 
-Candidates come from the token lists of the first order. A short list gives all
-its pairs. The documents of long lists (large families of copies, or passages
-that many documents share) are indexed again under the second order: there, a
-document far from all others has only rare tokens in its prefix and drops out.
-What is left in a long list is mostly one family, so its members are linked to
-the list's most central member, the one with the fewest rare tokens, and pairs
-grow with the list and not with its square. Lists that still hold several
-components get further centres, and in the end all their pairs between
-components, so that no link between components is lost.
+The orders form a cascade. Documents that share a prefix token under the first
+order are indexed under the second, which is the first with all tokens last that
+several documents had in their prefixes: documents that share a passage and no
+more drop out, copies meet again in their next tokens. A short list there gives all its pairs. The documents of long lists (large families
+of copies) are counted token by token and indexed under the third order, with
+all their frequent tokens last: a document far from all others then has only
+rare tokens in its prefix and drops out, and a long list is mostly one family.
+Its members are linked to the list's most central one, that with the fewest
+rare tokens, so pairs grow with the list and not with its square. Lists that
+still hold several components get another centre, and in the end all their
+pairs between components, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -30,9 +32,9 @@ from shelfcast.llm.masks import in_mask, mask_of
 from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
-ORDERS = 3
+TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
 CENTRES = 2  # further stars in a list before its remaining pairs are compared, and that comparison
-SALTS = (0x0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+SALTS = (0x0, 0x0, 0xE7037ED1A0B428DB)  # the second order only moves the first one's shared tokens
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -66,17 +68,13 @@ def set_key(tokens: np.ndarray) -> int:
         return int(signed(mix(np.array([tokens.sum(dtype=U64) * U64(31) + mix(tokens).sum(dtype=U64)])))[0])
 
 
-def demoted(tokens: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-    return np.zeros(len(tokens), bool) if mask is None else in_mask(signed(tokens), mask)
-
-
 def prefix(tokens: np.ndarray, order: int, frequent: np.ndarray | None, percent: int) -> np.ndarray:
-    """The first tokens of a set under one order: by a salted hash, from the second order on with frequent tokens last."""
+    """The first tokens of a set under one order: by a salted hash, with frequent tokens last."""
     if not len(tokens):
         return tokens
     rank = mix(tokens ^ U64(SALTS[order])) >> U64(1)
-    if order:
-        rank |= demoted(tokens, frequent).astype(U64) << U64(63)
+    if frequent is not None:
+        rank |= in_mask(tokens, frequent).astype(U64) << U64(63)
     length = prefix_length(len(tokens), percent)
     return tokens[np.argpartition(rank, length - 1)[:length]]
 
@@ -91,28 +89,33 @@ def _nodes(percent: int, size: int):
                 keys.append(set_key(tokens) if len(tokens) else None)
                 counts.append(len(tokens))
                 heads.append(signed(prefix(tokens, 0, None, percent)))
-            own = [batch.column("doc_id"), batch.column("row_key"), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())]
-            heads = pa.array(heads, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*own, heads], ["doc_id", "row_key", "node", "n", "head"])
+            own = [batch.column("doc_id"), batch.column("row_key"), pa.array(keys, pa.int64())]
+            own += [pa.array(counts, pa.int64()), pa.array([0] * len(counts), pa.int64()), pa.array(heads, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(own, ["doc_id", "row_key", "node", "n", "rare", "head"])
 
     return run
 
 
-def _chosen(batch: pa.RecordBatch, size: int, mask: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Node and set of the batch's documents whose node passes the mask."""
-    for tokens in shingle_sets(batch.column("text"), size):
+def _chosen(batch: pa.RecordBatch, size: int, mask: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Row, node and set of the batch's documents whose node passes the mask."""
+    for row, tokens in enumerate(shingle_sets(batch.column("text"), size)):
         if len(tokens):
             key = set_key(tokens)
             if in_mask(np.array([key]), mask)[0]:
-                yield key, tokens
+                yield row, key, tokens
 
 
-def _sets(size: int, mask_value):
+def _passing(mask_value):
+    """The index rows whose token passes the mask."""
+
     def run(batches):
         for batch in batches:
-            found = list(_chosen(batch, size, mask_value.value))
-            keys = pa.array([k for k, _ in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array([signed(t) for _, t in found], pa.list_(pa.int64()))], ["node", "tokens"])
+            heads = batch.column("head")
+            counts = np.diff(heads.offsets.to_numpy())
+            tokens = heads.flatten().to_numpy()
+            fine = in_mask(tokens, mask_value.value)
+            cols = [np.repeat(batch.column(c).to_numpy(), counts)[fine] for c in ("node", "n", "rare")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in [tokens[fine], *cols]], ["token", "node", "n", "rare"])
 
     return run
 
@@ -122,22 +125,22 @@ def _token_counts(size: int, mask_value):
 
     def run(batches):
         for batch in batches:
-            sets = [t for _, t in _chosen(batch, size, mask_value.value)]
+            sets = [t for _, _, t in _chosen(batch, size, mask_value.value)]
             tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
 
     return run
 
 
-def _second_prefix(size: int, percent: int, mask_value, frequent_value):
-    """Prefixes under the second order, with the number of rare tokens in the set."""
+def _prefixes(size: int, percent: int, order: int, mask_value, frequent_value):
+    """Prefixes under one order, with the number of rare tokens in the set."""
 
     def run(batches):
         frequent = frequent_value.value
         for batch in batches:
             rows = [
-                (key, len(t), int(len(t) - demoted(t, frequent).sum()), signed(prefix(t, 1, frequent, percent)))
-                for key, t in _chosen(batch, size, mask_value.value)
+                (key, len(t), int(len(t) - in_mask(t, frequent).sum()), signed(prefix(t, order, frequent, percent)))
+                for _, key, t in _chosen(batch, size, mask_value.value)
             ]
             cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
             heads = pa.array([r[3] for r in rows], pa.list_(pa.int64()))
@@ -146,32 +149,45 @@ def _second_prefix(size: int, percent: int, mask_value, frequent_value):
     return run
 
 
-def _verified(percent: int, frequent_value):
+def _sets(size: int, mask_value):
+    """Sets of the rows whose key passes the mask."""
+
+    def run(batches):
+        for batch in batches:
+            wanted = batch.filter(pa.array(in_mask(batch.column("row_key").to_numpy(), mask_value.value)))
+            sets = [signed(t) for t in shingle_sets(wanted.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([wanted.column("row_key"), pa.array(sets, pa.list_(pa.int64()))], ["row_key", "tokens"])
+
+    return run
+
+
+def _verified(percent: int, frequent: list):
     """Keep pairs that share a prefix token under each order, then those that are similar enough."""
 
     def run(batches):
-        frequent = frequent_value.value
+        masks = [None if f is None else f.value for f in frequent]
         known: dict[int, tuple] = {}
 
-        def look(node: int, tokens) -> tuple:
-            if node not in known:
+        def look(row: int, tokens) -> tuple:
+            if row not in known:
                 if len(known) > 2000:
                     known.clear()
                 own = tokens.values.to_numpy(zero_copy_only=False).view(U64)
-                known[node] = own, [frozenset(prefix(own, o, frequent, percent).tolist()) for o in range(ORDERS)]
-            return known[node]
+                known[row] = own, [frozenset(prefix(own, o, m, percent).tolist()) for o, m in enumerate(masks)]
+            return known[row]
 
         for batch in batches:
             keep = []
             left, right = batch.column("x_tokens"), batch.column("y_tokens")
-            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+            for i, (a, b) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
                 (x, heads), (y, others) = look(a, left[i]), look(b, right[i])
                 if any(p.isdisjoint(q) for p, q in zip(heads, others)):
                     keep.append(False)
                     continue
                 same = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "similar"])
+            fine = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(fine), batch.column("b").filter(fine)], ["a", "b"])
 
     return run
 
@@ -193,10 +209,17 @@ def _pairs_of_short(lists: DataFrame) -> DataFrame:
     return both.select(F.col("node").alias("a"), "b", F.col("n").alias("n_a"), "n_b")
 
 
-def _shared_lists(index: DataFrame) -> DataFrame:
-    """The token lists of two nodes or more, one row per node, with the list's length ``m``."""
-    stats = index.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("m"))
-    return checkpointed(index.join(stats.where("low <> high").select("token", "m"), "token").distinct(), "lists")
+def _shared_lists(heads: DataFrame) -> DataFrame:
+    """The token lists with two nodes or more, one row per node, with the list's length ``m``.
+
+    ``heads(node, n, rare, head)``. Most tokens occur once; they are counted in
+    one small shuffle, and a filter of the others keeps them out of the next.
+    """
+    counts = heads.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    several = heads.sparkSession.sparkContext.broadcast(mask_of(counts.where("m > 1"), "token", TOKEN_BITS))
+    rows = heads.mapInArrow(_passing(several), "token bigint, node bigint, n bigint, rare bigint").distinct()
+    lengths = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return checkpointed(rows.join(lengths, "token"), "lists")
 
 
 def _stars(lists: DataFrame, again: bool) -> DataFrame:
@@ -222,30 +245,33 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     by 64-bit hashes.
     """
     send = docs.sparkSession.sparkContext.broadcast
-    docs = present(docs, "doc_id")
-    text = docs.select("text")
-    schema = "doc_id bigint, row_key bigint, node bigint, n bigint, head array<bigint>"
-    members = checkpointed(docs.select("doc_id", row_key(), "text").mapInArrow(_nodes(percent, size), schema), "shingles")
-
-    first = _shared_lists(members.where("n > 0").select("node", "n", F.explode("head").alias("token")))
-    pairs = _pairs_of_short(_labelled(first.where(F.col("m") <= SHORT), None))
-    long = first.where(F.col("m") > SHORT).select("node").distinct()
-    active = send(mask_of(long, "node"))
-    counts = text.mapInArrow(_token_counts(size, active), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    text = present(docs, "doc_id").select("doc_id", row_key(), "text")
+    schema = "doc_id bigint, row_key bigint, node bigint, n bigint, rare bigint, head array<bigint>"
+    members = checkpointed(text.mapInArrow(_nodes(percent, size), schema), "shingles")
+    heads = "node bigint, n bigint, rare bigint, head array<bigint>"
+
+    first = _shared_lists(members.where("n > 0").select("node", "n", "rare", "head"))
+    some, often = send(mask_of(first, "node")), send(mask_of(first, "token", TOKEN_BITS))
+    second = _shared_lists(text.mapInArrow(_prefixes(size, percent, 1, some, often), heads))
+    pairs = _pairs_of_short(_labelled(second.where(F.col("m") <= SHORT), None))
+
+    family = send(mask_of(second.where(F.col("m") > SHORT), "node"))
+    counts = text.mapInArrow(_token_counts(size, family), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
-    heads = text.mapInArrow(_second_prefix(size, percent, active, frequent), "node bigint, n bigint, rare bigint, head array<bigint>")
-    second = _shared_lists(heads.select("node", "n", "rare", F.explode("head").alias("token")))
-    pairs = pairs.unionAll(_pairs_of_short(_labelled(second.where(F.col("m") <= SHORT), None)))
-    pairs = pairs.unionAll(_stars(_labelled(second.where(F.col("m") > SHORT), None), again=False))
-    labels = _extend(text, pairs, None, percent, size, frequent)
-    rest = second.where(F.col("m") > SHORT)
+    third = _shared_lists(text.mapInArrow(_prefixes(size, percent, 2, family, frequent), heads))
+    pairs = pairs.unionAll(_pairs_of_short(_labelled(third.where(F.col("m") <= SHORT), None)))
+    rest = third.where(F.col("m") > SHORT)
+    pairs = pairs.unionAll(_stars(_labelled(rest, None), again=False))
+
+    copies = checkpointed(members.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")), "copies")
+    verify = lambda pairs, labels: _extend(text, copies, pairs, labels, percent, size, [None, often, frequent])
+    labels = verify(pairs, None)
     for turn in range(CENTRES):
         rest = _unsettled(rest, labels)
         if rest.isEmpty():
             break
         rows = _labelled(rest, labels)
-        pairs = _stars(rows, again=True) if turn + 1 < CENTRES else _pairs_of_short(rows)
-        labels = _extend(text, pairs, labels, percent, size, frequent)
+        labels = verify(_stars(rows, again=True) if turn + 1 < CENTRES else _pairs_of_short(rows), labels)
     found = members.select("doc_id", "row_key", "node", F.col("n").alias("n_shingles"))
     return _labelled(found, labels)
 
@@ -257,18 +283,17 @@ def _unsettled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(lists.join(open_.select("token"), "token", "left_semi"), "rest")
 
 
-def _extend(text, pairs, labels, percent, size, frequent):
-    """The components after the pairs that hold have been added as links."""
-    pairs = checkpointed(pairs.where(_could_match(percent)).select("a", "b").distinct(), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    wanted = text.sparkSession.sparkContext.broadcast(mask_of(ends, "node"))
-    sets = text.mapInArrow(_sets(size, wanted), "node bigint, tokens array<bigint>")
-    sets = checkpointed(sets.join(ends.distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
-    y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
-    checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
-    good = checked.mapInArrow(_verified(percent, frequent), "a bigint, b bigint, similar boolean")
-    new = good.where("similar").select("a", "b")
+def _extend(text, copies, pairs, labels, percent, size, frequent):
+    """The components after the pairs that hold have been added as links. One document of each node is read."""
+    x = copies.select(F.col("node").alias("a"), F.col("row_key").alias("x"))
+    y = copies.select(F.col("node").alias("b"), F.col("row_key").alias("y"))
+    pairs = pairs.where(_could_match(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = checkpointed(pairs.join(x, "a").join(y, "b"), "pairs")
+    wanted = text.sparkSession.sparkContext.broadcast(mask_of(pairs.select(F.explode(F.array("x", "y")).alias("row_key")), "row_key"))
+    sets = checkpointed(text.mapInArrow(_sets(size, wanted), "row_key bigint, tokens array<bigint>"), "sets")
+    x = sets.select(F.col("row_key").alias("x"), F.col("tokens").alias("x_tokens"))
+    y = sets.select(F.col("row_key").alias("y"), F.col("tokens").alias("y_tokens"))
+    new = pairs.join(x, "x").join(y, "y").mapInArrow(_verified(percent, frequent), "a bigint, b bigint").distinct()
     if labels is not None:
         new = new.unionAll(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
     return checkpointed(components(new), "roots")
