@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfcast.llm import jaccard
+from shelfcast.llm import jaccard, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    """One row per repeated passage and document, with its words' places; later occurrences are marked."""
+    spans = suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "later")
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), percent=85, size=4)
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {}
