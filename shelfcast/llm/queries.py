@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import jaccard, suffixes
+from shelfcast.llm import jaccard, linefreq, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,12 +22,19 @@ def op2_suffix_array_dedup(spark, sf_dir):
     return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "later")
 
 
+def op8_quality_rules(spark, sf_dir):
+    return linefreq.line_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), percent=85, size=4)
 
 
 REGISTRY: dict[str, Query] = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_quality_rules": linefreq.ORACLE,
+}
