@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import jaccard, linefreq, suffixes
+from shelfcast.llm import decontaminate, jaccard, linefreq, packing, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark, sf_dir):
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_array_dedup(spark, sf_dir):
     """One row per repeated passage and document, with its words' places; later occurrences are marked."""
     spans = suffixes.repeated_spans(table(spark, sf_dir, "documents"))
     return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "later")
 
 
+def op6_benchmark_decontamination(spark, sf_dir):
+    """One row per document and benchmark item found in it, with the place and the edits."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op8_quality_rules(spark, sf_dir):
     return linefreq.line_verdicts(table(spark, sf_dir, "documents"))
 
@@ -31,7 +40,9 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }

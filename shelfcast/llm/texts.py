@@ -87,8 +87,12 @@ def _classes(raw: np.ndarray, symbols: bool) -> np.ndarray:
     return kind
 
 
-def split_words(raw: np.ndarray, bounds: np.ndarray, fold: bool = False, symbols: bool = False) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each row; ``fold`` lowers A-Z, ``symbols`` splits punctuation off."""
+def split_words(raw: np.ndarray, bounds: np.ndarray, fold: bool = False, symbols: str = "inside") -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each row; ``fold`` lowers A-Z.
+
+    ``symbols``: ASCII punctuation stays "inside" words, stands "apart" as words
+    of its own, or is left "out".
+    """
     hashes, starts, ends = [], [], []
     at, total = 0, len(raw)
     while at < total:
@@ -103,14 +107,14 @@ def split_words(raw: np.ndarray, bounds: np.ndarray, fold: bool = False, symbols
         piece = raw[at:stop]
         if fold:
             piece = np.where(piece - 65 < 26, piece + 32, piece).astype(np.uint8)
-        kind = _classes(piece, symbols)
+        kind = _classes(piece, symbols != "inside")
         edge = np.ones(len(piece) + 1, bool)
         edge[1:-1] = kind[1:] != kind[:-1]
         cuts = bounds[np.searchsorted(bounds, at, "right") : np.searchsorted(bounds, stop, "left")] - at
         edge[cuts] = True
         cut = np.flatnonzero(edge)
         begin, finish = cut[:-1], cut[1:]
-        real = kind[begin] > 0
+        real = (kind[begin] > 0) if symbols != "out" else (kind[begin] == 1)
         begin, finish = begin[real], finish[real]
         up, down = powers(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, U64)
