@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.texts import U64, present, row_groups, row_key, split_words, string_buffer
+from shelfcast.llm.texts import U64, present, row_groups, row_key, slices, split_words, string_buffer
 
 BLOCK = 1 << 16
 TABLE_BITS = 18
@@ -172,7 +172,7 @@ def matches(hashes: np.ndarray, candidates: list[tuple[int, int]], items: Items)
 def _search(items_value):
     def run(batches):
         items = items_value.value
-        for batch in batches:
+        for batch in slices(batches):
             raw, bounds = string_buffer(batch.column("text"))
             rows: list[tuple] = []
             for low, high in row_groups(bounds):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
 from shelfcast.llm.masks import in_mask, mask_of
-from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, split_words, string_buffer
+from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, slices, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
 TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
@@ -83,7 +83,7 @@ def _nodes(percent: int, size: int):
     """Each document's node, set size and prefix under the first order."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keys, counts, heads = [], [], []
             for tokens in shingle_sets(batch.column("text"), size):
                 keys.append(set_key(tokens) if len(tokens) else None)
@@ -96,67 +96,78 @@ def _nodes(percent: int, size: int):
     return run
 
 
-def _chosen(batch: pa.RecordBatch, size: int, mask: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Row, node and set of the batch's documents whose node passes the mask."""
-    for row, tokens in enumerate(shingle_sets(batch.column("text"), size)):
-        if len(tokens):
-            key = set_key(tokens)
-            if in_mask(np.array([key]), mask)[0]:
-                yield row, key, tokens
-
-
-def _passing(mask_value):
-    """The index rows whose token passes the mask."""
+def _sets(size: int, mask_value):
+    """Node and set of the rows whose key passes the mask."""
 
     def run(batches):
-        for batch in batches:
-            heads = batch.column("head")
-            counts = np.diff(heads.offsets.to_numpy())
-            tokens = heads.flatten().to_numpy()
-            fine = in_mask(tokens, mask_value.value)
-            cols = [np.repeat(batch.column(c).to_numpy(), counts)[fine] for c in ("node", "n", "rare")]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in [tokens[fine], *cols]], ["token", "node", "n", "rare"])
+        for batch in slices(batches):
+            wanted = batch.filter(pa.array(in_mask(batch.column("row_key").to_numpy(), mask_value.value)))
+            sets = [t for t in shingle_sets(wanted.column("text"), size) if len(t)]
+            cols = [pa.array([set_key(t) for t in sets], pa.int64()), pa.array([len(t) for t in sets], pa.int64())]
+            cols.append(pa.array([signed(t) for t in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(cols, ["node", "n", "tokens"])
 
     return run
 
 
-def _token_counts(size: int, mask_value):
-    """How often each token occurs in the chosen documents of a batch."""
+def _stored(batch: pa.RecordBatch, name: str = "tokens") -> list[np.ndarray]:
+    """The sets of a column."""
+    column = batch.column(name)
+    bounds, flat = column.offsets.to_numpy(), column.values.to_numpy().view(U64)
+    return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def run(batches):
-        for batch in batches:
-            sets = [t for _, _, t in _chosen(batch, size, mask_value.value)]
-            tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, np.int64))
+
+def _token_counts(batches):
+    """How often each token occurs in the sets of a batch."""
+    for batch in batches:
+        if batch.num_rows:
+            tokens, counts = np.unique(np.concatenate(_stored(batch)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
 
+
+def _prefix_row(key: int, tokens: np.ndarray, order: int, frequent: np.ndarray, percent: int) -> tuple:
+    return key, len(tokens), int(len(tokens) - in_mask(tokens, frequent).sum()), signed(prefix(tokens, order, frequent, percent))
+
+
+def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+    return pa.RecordBatch.from_arrays([*cols, pa.array([r[3] for r in rows], pa.list_(pa.int64()))], ["node", "n", "rare", "head"])
+
+
+def _second_prefixes(size: int, percent: int, mask_value, frequent_value):
+    """Prefixes under the second order, of the texts whose node passes the mask."""
+
+    def run(batches):
+        for batch in slices(batches):
+            sets = [(set_key(t), t) for t in shingle_sets(batch.column("text"), size) if len(t)]
+            fine = in_mask(np.array([k for k, _ in sets], np.int64), mask_value.value)
+            yield _prefix_batch([_prefix_row(k, t, 1, frequent_value.value, percent) for (k, t), f in zip(sets, fine) if f])
+
     return run
 
 
-def _prefixes(size: int, percent: int, order: int, mask_value, frequent_value):
-    """Prefixes under one order, with the number of rare tokens in the set."""
+def _third_prefixes(percent: int, frequent_value):
+    """Prefixes of stored sets under the third order."""
 
     def run(batches):
-        frequent = frequent_value.value
-        for batch in batches:
-            rows = [
-                (key, len(t), int(len(t) - in_mask(t, frequent).sum()), signed(prefix(t, order, frequent, percent)))
-                for _, key, t in _chosen(batch, size, mask_value.value)
-            ]
-            cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
-            heads = pa.array([r[3] for r in rows], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*cols, heads], ["node", "n", "rare", "head"])
+        for batch in slices(batches):
+            keys = batch.column("node").to_pylist()
+            yield _prefix_batch([_prefix_row(k, t, 2, frequent_value.value, percent) for k, t in zip(keys, _stored(batch))])
 
     return run
 
 
-def _sets(size: int, mask_value):
-    """Sets of the rows whose key passes the mask."""
+def _passing(mask_value):
+    """The index rows whose token passes the mask."""
 
     def run(batches):
         for batch in batches:
-            wanted = batch.filter(pa.array(in_mask(batch.column("row_key").to_numpy(), mask_value.value)))
-            sets = [signed(t) for t in shingle_sets(wanted.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([wanted.column("row_key"), pa.array(sets, pa.list_(pa.int64()))], ["row_key", "tokens"])
+            heads = batch.column("head")
+            counts = np.diff(heads.offsets.to_numpy())
+            tokens = heads.flatten().to_numpy()
+            fine = in_mask(tokens, mask_value.value)
+            cols = [np.repeat(batch.column(c).to_numpy(), counts)[fine] for c in ("node", "n", "rare")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in [tokens[fine], *cols]], ["token", "node", "n", "rare"])
 
     return run
 
@@ -166,22 +177,20 @@ def _verified(percent: int, frequent: list):
 
     def run(batches):
         masks = [None if f is None else f.value for f in frequent]
-        known: dict[int, tuple] = {}
+        known: dict[int, list] = {}
 
-        def look(row: int, tokens) -> tuple:
-            if row not in known:
-                if len(known) > 2000:
+        def heads(node: int, tokens: np.ndarray) -> list:
+            if node not in known:
+                if len(known) > 1000:
                     known.clear()
-                own = tokens.values.to_numpy(zero_copy_only=False).view(U64)
-                known[row] = own, [frozenset(prefix(own, o, m, percent).tolist()) for o, m in enumerate(masks)]
-            return known[row]
+                known[node] = [frozenset(prefix(tokens, o, m, percent).tolist()) for o, m in enumerate(masks)]
+            return known[node]
 
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
-            left, right = batch.column("x_tokens"), batch.column("y_tokens")
-            for i, (a, b) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
-                (x, heads), (y, others) = look(a, left[i]), look(b, right[i])
-                if any(p.isdisjoint(q) for p, q in zip(heads, others)):
+            nodes = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _stored(batch, "x_tokens"), _stored(batch, "y_tokens"))
+            for a, b, x, y in nodes:
+                if any(p.isdisjoint(q) for p, q in zip(heads(a, x), heads(b, y))):
                     keep.append(False)
                     continue
                 same = len(x) + len(y) - len(np.union1d(x, y))
@@ -252,19 +261,24 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
 
     first = _shared_lists(members.where("n > 0").select("node", "n", "rare", "head"))
     some, often = send(mask_of(first, "node")), send(mask_of(first, "token", TOKEN_BITS))
-    second = _shared_lists(text.mapInArrow(_prefixes(size, percent, 1, some, often), heads))
+    second = _shared_lists(text.mapInArrow(_second_prefixes(size, percent, some, often), heads))
     pairs = _pairs_of_short(_labelled(second.where(F.col("m") <= SHORT), None))
+    pairs = checkpointed(pairs.where(_could_match(percent)).distinct(), "pairs")
+
+    # The sets that the rest needs, read from one document of each node.
+    wanted = second.where(F.col("m") > SHORT).select("node").unionAll(pairs.select(F.explode(F.array("a", "b")))).distinct()
+    copies = members.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")).join(wanted, "node")
+    sets = text.mapInArrow(_sets(size, send(mask_of(copies, "row_key"))), "node bigint, n bigint, tokens array<bigint>")
+    sets = checkpointed(sets, "sets")
 
-    family = send(mask_of(second.where(F.col("m") > SHORT), "node"))
-    counts = text.mapInArrow(_token_counts(size, family), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    counts = sets.select("tokens").mapInArrow(_token_counts, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
-    third = _shared_lists(text.mapInArrow(_prefixes(size, percent, 2, family, frequent), heads))
+    third = _shared_lists(sets.mapInArrow(_third_prefixes(percent, frequent), heads))
     pairs = pairs.unionAll(_pairs_of_short(_labelled(third.where(F.col("m") <= SHORT), None)))
     rest = third.where(F.col("m") > SHORT)
     pairs = pairs.unionAll(_stars(_labelled(rest, None), again=False))
 
-    copies = checkpointed(members.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")), "copies")
-    verify = lambda pairs, labels: _extend(text, copies, pairs, labels, percent, size, [None, often, frequent])
+    verify = lambda pairs, labels: _extend(sets, pairs, labels, percent, [None, often, frequent])
     labels = verify(pairs, None)
     for turn in range(CENTRES):
         rest = _unsettled(rest, labels)
@@ -283,17 +297,13 @@ def _unsettled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(lists.join(open_.select("token"), "token", "left_semi"), "rest")
 
 
-def _extend(text, copies, pairs, labels, percent, size, frequent):
-    """The components after the pairs that hold have been added as links. One document of each node is read."""
-    x = copies.select(F.col("node").alias("a"), F.col("row_key").alias("x"))
-    y = copies.select(F.col("node").alias("b"), F.col("row_key").alias("y"))
+def _extend(sets, pairs, labels, percent, frequent):
+    """The components after the pairs that hold have been added as links."""
     pairs = pairs.where(_could_match(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = checkpointed(pairs.join(x, "a").join(y, "b"), "pairs")
-    wanted = text.sparkSession.sparkContext.broadcast(mask_of(pairs.select(F.explode(F.array("x", "y")).alias("row_key")), "row_key"))
-    sets = checkpointed(text.mapInArrow(_sets(size, wanted), "row_key bigint, tokens array<bigint>"), "sets")
-    x = sets.select(F.col("row_key").alias("x"), F.col("tokens").alias("x_tokens"))
-    y = sets.select(F.col("row_key").alias("y"), F.col("tokens").alias("y_tokens"))
-    new = pairs.join(x, "x").join(y, "y").mapInArrow(_verified(percent, frequent), "a bigint, b bigint").distinct()
+    x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
+    y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
+    checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
+    new = checked.mapInArrow(_verified(percent, frequent), "a bigint, b bigint").distinct()
     if labels is not None:
         new = new.unionAll(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
     return checkpointed(components(new), "roots")

@@ -28,6 +28,7 @@ from shelfcast.llm.texts import (
     row_groups,
     row_key,
     signed,
+    slices,
     split_words,
     string_buffer,
 )
@@ -80,7 +81,7 @@ def _per_document(batch: pa.RecordBatch):
 
 def _grams(gram: int, window: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
             rows, found = [], []
             for r, hashes in _per_document(batch):
@@ -100,7 +101,7 @@ def _suffixes(gram: int, window: int, min_words: int, mask_value):
 
     def run(batches):
         mask = mask_value.value
-        for batch in batches:
+        for batch in slices(batches):
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").to_pylist()
             for r, hashes in _per_document(batch):

@@ -153,9 +153,11 @@ def row_groups(bounds: np.ndarray, most: int = 4 * PIECE):
         row = stop
 
 
-def byte_mask(raw: np.ndarray) -> np.ndarray:
-    """True at the first byte of each code point."""
-    return (raw & 0xC0) != 0x80
+def slices(batches, rows: int = 1000):
+    """The batches in parts of a few rows, so that what a task holds beside them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def present(docs: DataFrame, *columns: str) -> DataFrame:
