@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard, linefreq, packing, suffixes
+from shelfcast.llm import decontaminate, jaccard, linear, linefreq, packing, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,21 @@ def op2_suffix_array_dedup(spark, sf_dir):
     return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "later")
 
 
+def scores(spark, sf_dir, scored, modulus: int, remainder: int, least: float, **how):
+    """Scores of all documents by a model that learns from the rows that are not held out."""
+    out = linear.held_out(modulus, remainder)
+    rows = scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), out=out, **how)
+    return rows.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark, sf_dir):
+    return scores(spark, sf_dir, toxicity.scored, 5, 0, 0.5, target="toxic")
+
+
+def op10_quality_classifier(spark, sf_dir):
+    return scores(spark, sf_dir, linear.scored, 4, 2, 0.7, target="quality")
+
+
 def op6_benchmark_decontamination(spark, sf_dir):
     """One row per document and benchmark item found in it, with the place and the edits."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
@@ -42,9 +57,11 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 REGISTRY: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE: dict[str, str] = {
     "op8_quality_rules": linefreq.ORACLE,

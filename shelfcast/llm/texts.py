@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shelfcast.session import by_key, materialise, scratch_path, shared_dir  # noqa: F401  (shared with the operators)
 
 U64 = np.uint64
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 BASE = 0x9E3779B97F4A7C15 | 1
 PIECE = 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
@@ -161,7 +162,14 @@ def slices(batches, rows: int = 1000):
 
 
 def present(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, the text's null as empty."""
+    """The named columns, the text's null as empty.
+
+    Texts are long: Arrow batches of the session are bounded to a thousand rows,
+    since ten thousand whole texts beside their sets may fill a task's memory.
+    """
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
