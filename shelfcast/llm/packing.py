@@ -13,67 +13,139 @@ from __future__ import annotations
 import zlib
 from bisect import insort
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfcast.llm.texts import checkpointed, present
-
-KEPT_WORDS = 1_000_000  # of the word cache in a Python worker, about 150 MB
-_CACHES: dict[str, dict[str, bytes]] = {}
-_TOKENIZERS: dict[str, Tokenizer] = {}
+from shelfcast.llm.texts import Words, checkpointed, present, row_groups, slices, split_words, string_buffer
 
+KEPT_UNITS = 2_000_000  # that a Python worker remembers, about 250 MB
 
-def tokenizer(path: str) -> Tokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-    return _TOKENIZERS[path]
 
+class Encoder:
+    """Ids of whole batches for a vocabulary that lowers case, drops white space and never joins what it parts.
 
-def ids_of(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers.
-
-    For a vocabulary that drops white space and never joins what white space
-    parts: the library encodes each stretch between ASCII blanks, tabs and line
-    ends once per worker and batch, and texts are put together from these.
+    The library encodes each distinct unit once. A unit is a stretch between white
+    space. If it is a run of ASCII or Latin-1 letters and digits with ASCII marks
+    behind it, the run (A-Z lowered) and the marks are units of their own, since
+    the vocabulary's pattern always parts them there.
     """
-    known = _CACHES.setdefault(path, {})
-    parts = [t.split(" ") for t in (x.translate(BLANKS) for x in texts)]
-    new = list({w for p in parts for w in p if w not in known})
-    if len(known) + len(new) > KEPT_WORDS:
-        known.clear()
-        new = list({w for p in parts for w in p})
-    for at in range(0, len(new), 50_000):
-        some = new[at : at + 50_000]
-        for word, code in zip(some, tokenizer(path).encode_batch_fast(some, add_special_tokens=False)):
-            known[word] = np.array(code.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, p)) for p in parts]
-
 
-BLANKS = str.maketrans("\t\n\r", "   ")
+    def __init__(self, path: str):
+        self.vocabulary = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.begin = np.zeros(1 << 12, np.int64)
+        self.end = np.zeros(1 << 12, np.int64)
+        self.used = 0
+
+    def learn(self, keys: list[int], units: list[str]) -> None:
+        """Remember the ids of new units."""
+        for at in range(0, len(units), 50_000):
+            codes = self.vocabulary.encode_batch_fast(units[at : at + 50_000], add_special_tokens=False)
+            ids = [c.ids for c in codes]
+            sizes = np.array([len(i) for i in ids], np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            first = len(self.place)
+            self.place.update(zip(keys[at : at + 50_000], range(first, first + len(ids))))
+            self.pool = _grown(self.pool, self.used + len(flat))
+            self.pool[self.used : self.used + len(flat)] = flat
+            ends = self.used + np.cumsum(sizes)
+            self.begin, self.end = (_grown(x, first + len(ids)) for x in (self.begin, self.end))
+            self.begin[first : first + len(ids)], self.end[first : first + len(ids)] = ends - sizes, ends
+            self.used += len(flat)
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        raw, bounds = string_buffer(column)
+        out: list[np.ndarray] = []
+        for low, high in row_groups(bounds):
+            out += self._group(raw[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
+        return out
+
+    def _group(self, raw: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        words = split_words(raw, bounds, fold=True, symbols="apart")
+        keys, lone = words.hash, _odd_runs(raw, words)
+        data = raw.tobytes()
+        keep = np.ones(len(keys), bool)
+        odd: dict[int, str] = {}
+        for a, b in lone:  # a stretch of several parts that may belong together is a unit as it stands
+            unit = data[words.start[a] : words.end[b - 1]].decode()
+            keys[a] = key = xxhash.xxh64_intdigest(unit, seed=1)
+            keep[a + 1 : b] = False
+            odd[key] = unit
+        first = np.concatenate([[0], np.cumsum(keep)])[words.first]
+        keys, starts, ends = keys[keep], words.start[keep], words.end[keep]
+        distinct, at, which = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.place) + len(distinct) > KEPT_UNITS:
+            self.forget()
+        listed = distinct.tolist()
+        new = [i for i, k in enumerate(listed) if k not in self.place]
+        texts = [odd.get(listed[i]) or data[starts[at[i]] : ends[at[i]]].decode() for i in new]
+        self.learn([listed[i] for i in new], texts)
+        place = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[which]
+        sizes = self.end[place] - self.begin[place]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.pool[np.repeat(self.begin[place] - stops[:-1], sizes) + np.arange(stops[-1])]
+        cuts = stops[first]
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
+
+
+def _odd_runs(raw: np.ndarray, words: Words) -> list[tuple[int, int]]:
+    """Runs ``a:b`` that stand together without being a plain word with marks behind it."""
+    n = len(words.start)
+    if not n:
+        return []
+    behind_c3 = np.concatenate([[False], raw[:-1] == 0xC3])
+    strange = (raw >= 128) & ~((raw == 0xC3) | (behind_c3 & (raw != 0x97) & (raw != 0xB7)))
+    count = np.concatenate([[0], np.cumsum(strange)])
+    opens = np.ones(n, bool)
+    row = words.row
+    opens[1:] = (words.start[1:] != words.end[:-1]) | (row[1:] != row[:-1])
+    a = np.flatnonzero(opens)
+    b = np.append(a[1:], n)
+    head = raw[words.start[a]]
+    word_first = ((head | 32) - 97 < 26) | (head - 48 < 10) | (head >= 128)
+    plain = word_first & (count[words.end[a]] == count[words.start[a]]) & (b - a == 2)
+    odd = (b - a > 1) & ~plain
+    return list(zip(a[odd].tolist(), b[odd].tolist()))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each vocabulary and Python worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _pieces(path: str, size: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
-        for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, batch.num_rows, 500):
-                rows = []
-                for i, ids in enumerate(ids_of(texts.slice(at, 500).to_pylist(), path)):
-                    ids += end
-                    total = len(ids) // 4
-                    for start in range(0, total, size):
-                        own = ids[4 * start : 4 * (start + size)]
-                        rows.append((at + i, start, len(own) // 4, zlib.crc32(own), total))
-                place = pa.array([r[0] for r in rows], pa.int64())
-                cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(1, 5)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(place), *cols], NAMES)
+        for batch in slices(batches):
+            rows = []
+            for i, ids in enumerate(encoder(path).encode(batch.column("text"))):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for start in range(0, len(ids), size):
+                    own = ids[start : start + size]
+                    rows.append((i, start, len(own), zlib.crc32(own), len(ids)))
+            place = pa.array([r[0] for r in rows], pa.int64())
+            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(place), *cols], NAMES)
 
     return run
 
