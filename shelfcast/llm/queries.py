@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard, linear, linefreq, packing, suffixes, toxicity
+from shelfcast.llm import decontaminate, jaccard, linear, linefreq, packing, pagetree, sharding, suffixes, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,15 @@ def op2_suffix_array_dedup(spark, sf_dir):
     return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "later")
 
 
+def op3_extendible_sharding(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark, sf_dir):
+    pages = pagetree.extracted(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def scores(spark, sf_dir, scored, modulus: int, remainder: int, least: float, **how):
     """Scores of all documents by a model that learns from the rows that are not held out."""
     out = linear.held_out(modulus, remainder)
@@ -46,6 +55,11 @@ def op6_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op7_token_counts(spark, sf_dir):
+    counts = tokencount.token_counts(table(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op8_quality_rules(spark, sf_dir):
     return linefreq.line_verdicts(table(spark, sf_dir, "documents"))
 
@@ -57,12 +71,16 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 REGISTRY: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_extendible_sharding": op3_extendible_sharding,
+    "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE: dict[str, str] = {
+    "op3_extendible_sharding": sharding.ORACLE,
     "op8_quality_rules": linefreq.ORACLE,
 }

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.session import by_key, materialise, scratch_path, shared_dir  # noqa: F401  (shared with the operators)
@@ -161,15 +161,18 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
-def present(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, the text's null as empty.
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to a thousand rows.
 
-    Texts are long: Arrow batches of the session are bounded to a thousand rows,
-    since ten thousand whole texts beside their sets may fill a task's memory.
+    Texts are long: ten thousand whole ones beside what is made of them may fill a task's memory.
     """
-    conf = docs.sparkSession.conf
-    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
-        conf.set(BATCH_CONF, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
+def present(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, the text's null as empty, in bounded Arrow batches."""
+    bounded_batches(docs.sparkSession)
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
