@@ -34,6 +34,7 @@ from shelfcast.llm.texts import (
 )
 
 NEAR = 3  # neighbours on each side
+STRETCH = 50_000  # suffixes that a task holds at a time
 GRAM_BITS = 24
 
 
@@ -129,7 +130,8 @@ def _matches(min_words: int, gram: int, edges: bool):
     """Compare each distinct context with its neighbours in suffix order.
 
     Emits, per context and matching neighbour, the words matched to the left and
-    right and the least document id on the other side. With ``edges``, the first
+    right and the least document id on the other side, looked for in the whole
+    run of suffixes that share the match. With ``edges``, the first
     and last rows of the partition are passed on as they are, to be compared
     with those of the partitions before and after.
     """
@@ -147,6 +149,26 @@ def _matches(min_words: int, gram: int, edges: bool):
     def join(a: dict | None, b: dict) -> dict:
         return b if a is None else {k: np.concatenate([a[k], b[k]]) for k in b}
 
+    def earliest(words: np.ndarray, first: np.ndarray, of: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """The least id among the suffixes that share a match of ``l`` and ``r`` words with row ``of``.
+
+        They stand together: those with ``r`` words to the right, or, where the right
+        context is full, with ``l`` reversed words to the left after it as well. The
+        run's first document is taken if it holds the left words, too.
+        """
+        least = np.full(len(of), LAST)
+        need = np.where(r == min_words, min_words + l, r)
+        shared = matched(words[:-1], words[1:])
+        for level in np.unique(need):
+            mine = np.flatnonzero(need == level)
+            run = np.concatenate([[0], np.cumsum(shared < level)])
+            order = np.lexsort((first, run))
+            best = order[np.concatenate([[True], run[order][1:] != run[order][:-1]])]
+            found = best[run[of[mine]]]
+            fine = matched(words[found, min_words:], words[of[mine], min_words:]) >= l[mine]
+            least[mine[fine]] = first[found[fine]]
+        return least
+
     def spans(rows: dict, fresh: int):
         words, keys, low, high, first = (rows[k] for k in ("words", "context_key", "low", "high", "first"))
         right, left = words[:, :min_words], words[:, min_words:]
@@ -155,23 +177,38 @@ def _matches(min_words: int, gram: int, edges: bool):
         if len(many):
             l, r = (left[many] != 0).sum(1), (right[many] != 0).sum(1)
             fine = l + r >= min_words
-            out.append((keys[many][fine], l[fine], r[fine], first[many][fine]))
+            out.append((many[fine], l[fine], r[fine], first[many][fine]))
         for d in range(1, NEAR + 1):
             i = np.arange(max(0, fresh - d), len(keys) - d)
             if not len(i):
                 continue
             j = i + d
             r = matched(right[i], right[j])
-            i, j, r = (x[r >= gram] for x in (i, j, r))
+            close = r >= gram
+            i, j, r = i[close], j[close], r[close]
             l = matched(left[i], left[j])
             other = (low[i] != low[j]) | (high[i] != high[j]) | (low[i] != high[i])
             good = (l + r >= min_words) & other
             i, j, l, r = i[good], j[good], l[good], r[good]
-            out += [(keys[i], l, r, first[j]), (keys[j], l, r, first[i])]
-        return out
+            out += [(i, l, r, first[j]), (j, l, r, first[i])]
+        of, l, r, near = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(4))
+        if not len(of):
+            return None
+        return keys[of], l, r, np.minimum(near, earliest(words, first, of, l, r))
 
     def run(batches):
-        held, seen = None, 0
+        held, waiting, seen = None, [], 0
+
+        def worked(rows: dict):
+            nonlocal held
+            both = join(held, rows)
+            found = spans(both, len(both["low"]) - len(rows["low"]))
+            held = {k: v[-NEAR:] for k, v in both.items()}
+            if found is not None:
+                none = pa.nulls(len(found[0]), pa.int64())
+                arrays = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*arrays, none, none, pa.nulls(len(found[0]), pa.binary())], NAMES)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -179,15 +216,12 @@ def _matches(min_words: int, gram: int, edges: bool):
             if edges and seen < NEAR:
                 yield passed({k: v[: NEAR - seen] for k, v in rows.items()})
             seen += len(rows["low"])
-            both = join(held, rows)
-            found = spans(both, len(both["low"]) - len(rows["low"]))
-            if found:
-                cols = [np.concatenate([f[k] for f in found]) for k in range(4)]
-                n = len(cols[0])
-                none = pa.nulls(n, pa.int64())
-                arrays = [pa.array(cols[0]), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3]), none, none]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(n, pa.binary())], NAMES)
-            held = {k: v[-NEAR:] for k, v in both.items()}
+            waiting.append(rows)
+            if sum(len(w["low"]) for w in waiting) >= STRETCH:
+                yield from worked({k: np.concatenate([w[k] for w in waiting]) for k in rows})
+                waiting = []
+        if waiting:
+            yield from worked({k: np.concatenate([w[k] for w in waiting]) for k in waiting[0]})
         if edges and held is not None:
             yield passed(held)
 
@@ -212,7 +246,10 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     case and punctuation. Its words are ``start_word`` up to but without
     ``end_word``. ``later`` spans also occur in a document with a smaller id, and
     may be removed; the others hold the first occurrence (both kinds may overlap
-    in a document, each is merged by itself). A document is a pair of id and
+    in a document, each is merged by itself). The first occurrence is looked for
+    among the suffixes of a stretch of the sorted order; where a run of equal ones
+    goes on in another task, each part keeps its own first, so that more than one
+    copy may stay, but never none. A document is a pair of id and
     text: identical rows are one document, repeats inside a document do not
     count, a null id comes after all others and documents of one id keep their
     passages. Null and empty texts have no spans. Only ``doc_id`` and ``text``
