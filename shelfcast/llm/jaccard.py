@@ -34,6 +34,7 @@ from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_grou
 SHORT = 32  # a list up to this length gives all its pairs
 TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
 CENTRES = 2  # further stars in a list before its remaining pairs are compared, and that comparison
+PAIR = ("a", "b", "n_a", "n_b", "rare_a", "rare_b")
 SALTS = (0x0, 0x0, 0xE7037ED1A0B428DB)  # the second order only moves the first one's shared tokens
 
 
@@ -125,8 +126,9 @@ def _token_counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
 
 
-def _prefix_row(key: int, tokens: np.ndarray, order: int, frequent: np.ndarray, percent: int) -> tuple:
-    return key, len(tokens), int(len(tokens) - in_mask(tokens, frequent).sum()), signed(prefix(tokens, order, frequent, percent))
+def _prefix_row(key: int, tokens: np.ndarray, order: int, frequent: np.ndarray | None, percent: int) -> tuple:
+    rare = 0 if frequent is None else int(len(tokens) - in_mask(tokens, frequent).sum())
+    return key, len(tokens), rare, signed(prefix(tokens, order, frequent, percent))
 
 
 def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -146,13 +148,14 @@ def _second_prefixes(size: int, percent: int, mask_value, frequent_value):
     return run
 
 
-def _third_prefixes(percent: int, frequent_value):
-    """Prefixes of stored sets under the third order."""
+def _stored_prefixes(percent: int, order: int, frequent_value=None):
+    """Prefixes of stored sets under an order."""
 
     def run(batches):
+        frequent = frequent_value.value if frequent_value else None
         for batch in slices(batches):
             keys = batch.column("node").to_pylist()
-            yield _prefix_batch([_prefix_row(k, t, 2, frequent_value.value, percent) for k, t in zip(keys, _stored(batch))])
+            yield _prefix_batch([_prefix_row(k, t, order, frequent, percent) for k, t in zip(keys, _stored(batch))])
 
     return run
 
@@ -173,17 +176,17 @@ def _passing(mask_value):
 
 
 def _verified(percent: int, frequent: list):
-    """Keep pairs that share a prefix token under each order, then those that are similar enough."""
+    """Keep pairs that share a prefix token under the later orders, too, then those that are similar enough."""
 
     def run(batches):
-        masks = [None if f is None else f.value for f in frequent]
+        masks = list(enumerate((f.value for f in frequent), 1))
         known: dict[int, list] = {}
 
         def heads(node: int, tokens: np.ndarray) -> list:
             if node not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[node] = [frozenset(prefix(tokens, o, m, percent).tolist()) for o, m in enumerate(masks)]
+                known[node] = [frozenset(prefix(tokens, o, m, percent).tolist()) for o, m in masks]
             return known[node]
 
         for batch in slices(batches):
@@ -206,16 +209,26 @@ def _could_match(percent: int):
     return F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND a <> b")
 
 
+def _could_overlap(percent: int):
+    """For pairs of a long list: their frequent tokens alone must suffice.
+
+    Rare tokens come first, so a set that is in a long list has all of them in its
+    prefix, and a rare token that two sets share gives the pair in a short list.
+    """
+    return F.expr(f"{100 + percent} * least(n_a - rare_a, n_b - rare_b) >= {percent} * (n_a + n_b)")
+
+
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("root", F.col("node"))
     return rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _pairs_of_short(lists: DataFrame) -> DataFrame:
-    other = lists.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    both = lists.join(other, "token").where("node < b AND root <> root_b")
-    return both.select(F.col("node").alias("a"), "b", F.col("n").alias("n_a"), "n_b")
+def _list_pairs(lists: DataFrame) -> DataFrame:
+    """All pairs of each list between different components."""
+    one = lists.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("root").alias("root_a"))
+    two = lists.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rare").alias("rare_b"), F.col("root").alias("root_b"))
+    return one.join(two, "token").where("a < b AND root_a <> root_b").select(*PAIR)
 
 
 def _shared_lists(heads: DataFrame) -> DataFrame:
@@ -239,7 +252,8 @@ def _stars(lists: DataFrame, again: bool) -> DataFrame:
         others = lists.join(best, "token").where("root <> c.root").drop("c")
         best = others.groupBy("token").agg(centre)
     pairs = lists.join(best, "token").where("root <> c.root")
-    return pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b"), F.col("n").alias("n_a"), F.col("c.n").alias("n_b"))
+    columns = {"a": "node", "b": "c.node", "n_a": "n", "n_b": "c.n", "rare_a": "rare", "rare_b": "c.rare"}
+    return pairs.select(*[F.col(columns[k]).alias(k) for k in PAIR])
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
@@ -262,8 +276,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     first = _shared_lists(members.where("n > 0").select("node", "n", "rare", "head"))
     some, often = send(mask_of(first, "node")), send(mask_of(first, "token", TOKEN_BITS))
     second = _shared_lists(text.mapInArrow(_second_prefixes(size, percent, some, often), heads))
-    pairs = _pairs_of_short(_labelled(second.where(F.col("m") <= SHORT), None))
-    pairs = checkpointed(pairs.where(_could_match(percent)).distinct(), "pairs")
+    pairs = _list_pairs(_labelled(second.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
+    pairs = checkpointed(pairs.distinct(), "pairs")
 
     # The sets that the rest needs, read from one document of each node.
     wanted = second.where(F.col("m") > SHORT).select("node").unionAll(pairs.select(F.explode(F.array("a", "b")))).distinct()
@@ -273,19 +287,20 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
 
     counts = sets.select("tokens").mapInArrow(_token_counts, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
-    third = _shared_lists(sets.mapInArrow(_third_prefixes(percent, frequent), heads))
-    pairs = pairs.unionAll(_pairs_of_short(_labelled(third.where(F.col("m") <= SHORT), None)))
-    rest = third.where(F.col("m") > SHORT)
-    pairs = pairs.unionAll(_stars(_labelled(rest, None), again=False))
-
-    verify = lambda pairs, labels: _extend(sets, pairs, labels, percent, [None, often, frequent])
-    labels = verify(pairs, None)
+    third = _shared_lists(sets.mapInArrow(_stored_prefixes(percent, 2, frequent), heads))
+    fronts = checkpointed(sets.mapInArrow(_stored_prefixes(percent, 0), heads), "fronts")
+    short = _list_pairs(_labelled(third.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
+    # A document with too few frequent tokens has no partner in a long list.
+    rest = third.where((F.col("m") > SHORT) & (100 * (F.col("n") - F.col("rare")) >= percent * F.col("n")))
+    of_long = lambda pairs: pairs.where(_could_match(percent) & _could_overlap(percent)).select("a", "b")
+    verify = lambda pairs, labels: _extend(sets, fronts, pairs, labels, percent, [often, frequent])
+    labels = verify(pairs.unionAll(short).unionAll(of_long(_stars(_labelled(rest, None), again=False))), None)
     for turn in range(CENTRES):
         rest = _unsettled(rest, labels)
         if rest.isEmpty():
             break
         rows = _labelled(rest, labels)
-        labels = verify(_stars(rows, again=True) if turn + 1 < CENTRES else _pairs_of_short(rows), labels)
+        labels = verify(of_long(_stars(rows, again=True) if turn + 1 < CENTRES else _list_pairs(rows)), labels)
     found = members.select("doc_id", "row_key", "node", F.col("n").alias("n_shingles"))
     return _labelled(found, labels)
 
@@ -297,12 +312,27 @@ def _unsettled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(lists.join(open_.select("token"), "token", "left_semi"), "rest")
 
 
-def _extend(sets, pairs, labels, percent, frequent):
+def _sharing_enough(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes under the first order share as many tokens as similar sets must.
+
+    Tokens that both sets hold outside the shared part of the prefixes lie behind
+    one of the prefixes, so there are no more than the longer rest has.
+    """
+    x = fronts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("head").alias("head_a"))
+    y = fronts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("head").alias("head_b"))
+    both = pairs.join(x, "a").join(y, "b")
+    rest = F.expr(f"ceil({percent} * greatest(n_a, n_b) / 100) - 1")
+    need = F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent})")
+    shared = F.size(F.array_intersect("head_a", "head_b"))
+    return both.where((shared > 0) & (shared + rest >= need)).select("a", "b")
+
+
+def _extend(sets, fronts, pairs, labels, percent, frequent):
     """The components after the pairs that hold have been added as links."""
-    pairs = pairs.where(_could_match(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = _sharing_enough(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), fronts, percent)
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
-    checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
+    checked = pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
     new = checked.mapInArrow(_verified(percent, frequent), "a bigint, b bigint").distinct()
     if labels is not None:
         new = new.unionAll(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
