@@ -5,24 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Source amounts carry at most four decimals, daily amounts three.
+# Decimal places that amounts keep in sums; more than any money or quantity column of a till has.
+PLACES = 12
+# Whole units in which means leave a sum: till amounts carry four decimals, daily ones three.
 SOURCE_SCALE = 10_000
 DAILY_SCALE = 1_000
+_WHOLE = float(2**52)  # from here on a double has no fraction
 
 
-def fixed(col: Column, scale: int) -> Column:
-    """A decimal amount as whole units of ``1/scale``, null as 0.
+def exact(col: Column, places: int = PLACES) -> Column:
+    """An amount as a decimal, null and NaN as 0.
 
-    Integer sums do not depend on the order in which partitions arrive, so a
+    Decimal sums do not depend on the order in which partitions arrive, so a
     retried task gives the same total and truncation never loses a unit.
     """
-    return F.coalesce(F.round(col * F.lit(float(scale))).cast("bigint"), F.lit(0).cast("bigint"))
+    amount = F.when(~F.isnan(col.cast("double")), col).cast(f"decimal(38,{places})")
+    return F.coalesce(amount, F.lit(0).cast(f"decimal(38,{places})"))
+
+
+def units(total: Column, scale: int) -> Column:
+    """A decimal total in units of ``1/scale`` as a double."""
+    return (total * F.lit(scale)).cast("double")
 
 
 def half_up(col: Column, digits: int = 3) -> Column:
-    """Round half up through ``floor``; ``round`` differs between engines at ties."""
+    """Round half up through ``floor``; ``round`` differs between engines at ties.
+
+    A value too large to have such digits is returned as it is, NaN too.
+    """
     unit = F.lit(float(10**digits))
-    return F.floor(col * unit + F.lit(0.5)).cast("double") / unit
+    rounded = F.floor(col * unit + F.lit(0.5)).cast("double") / unit
+    return F.when(F.abs(col * unit) < F.lit(_WHOLE), rounded).otherwise(col.cast("double"))
 
 
 def ratio(num: Column, den: Column) -> Column:

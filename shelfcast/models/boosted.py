@@ -31,9 +31,14 @@ TRAIN_SHARE = 0.8
 
 @dataclass(frozen=True)
 class Settings:
-    """Boosting rounds are bounded; the update after a month adds a few and damps them."""
+    """Boosting goes on until the validation rows stop it, when a round no longer lowers their error.
 
-    rounds: int = 20
+    ``rounds`` is only a stop for data on which that never happens. The update after a
+    month adds ``update_rounds`` trees to its residuals and damps them.
+    """
+
+    rounds: int = 10_000
+    tolerance: float = 0.0
     rate: float = 0.1
     update_rounds: int = 2
     update_weight: float = 0.1
@@ -102,6 +107,7 @@ def fit_base(
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     train = assembler.transform(panel.where(F.col("date") < F.lit(split).cast("date")))
     regressor = _regressor(settings, settings.rounds, "z_quantity").setValidationIndicatorCol("is_validation")
+    regressor = regressor.setParams(validationTol=settings.tolerance)
     return PipelineModel([assembler, regressor.fit(train)])
 
 

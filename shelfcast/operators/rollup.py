@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import parse_day
-from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, fixed, half_up
+from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, exact, half_up, not_nan, units
 from shelfcast.session import by_key
 
 
@@ -73,9 +73,9 @@ def _price_pairs(sold: DataFrame, keys: list[str]) -> DataFrame:
     return (
         sold.select(
             *keys,
-            *[F.coalesce(c, F.lit(0.0)).alias(c) for c in PRICES],
+            *[F.coalesce(not_nan(F.col(c)), F.lit(0.0)).alias(c) for c in PRICES],
             F.when(F.col("on_promotion") == 1, 1).otherwise(0).alias("on_promotion"),
-            *[fixed(F.col(c), SOURCE_SCALE).alias(c) for c in MOVEMENTS],
+            *[exact(F.col(c)).alias(c) for c in MOVEMENTS],
         )
         .groupBy(*keys, *PRICES)
         .agg(
@@ -88,13 +88,12 @@ def _price_pairs(sold: DataFrame, keys: list[str]) -> DataFrame:
 
 def _totals() -> list[Column]:
     def mean_of(c: str) -> Column:
-        return half_up(F.sum(c).cast("double") / (F.sum("n") * F.lit(float(SOURCE_SCALE))))
+        return half_up(units(F.sum(c), SOURCE_SCALE) / (F.sum("n") * F.lit(float(SOURCE_SCALE))))
 
     def whole(c: str) -> Column:
         """Total cut to whole units, towards zero as the source database does."""
         total = F.sum(c)
-        cut = F.floor(F.abs(total) / F.lit(float(SOURCE_SCALE))) * F.signum(total).cast("bigint")
-        return cut.cast("double")
+        return (F.floor(F.abs(total)).cast("double") * F.signum(total.cast("double"))) + F.lit(0.0)
 
     return [
         F.max("on_promotion").alias("on_promotion"),
@@ -194,17 +193,18 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
     """One row per series and day where a product was sold under several barcodes.
 
     Quantities and totals add up, the promotion flag is kept if any row has it,
-    prices and rates are averaged. The rows go straight to the partition of their
-    series, which the calendar and feature windows after this step need anyway.
+    prices and rates are averaged. Days are combined before they are shuffled;
+    then the series, at most one calendar long each, go to the partitions that
+    the calendar and feature windows after this step need anyway.
     """
 
-    def mean_of(c: str) -> Column:
-        return F.sum(fixed(F.col(c), DAILY_SCALE)).cast("double") / (F.count(F.lit(1)) * F.lit(float(DAILY_SCALE)))
-
     def total(c: str) -> Column:
-        return F.sum(fixed(F.col(c), DAILY_SCALE)).cast("double") / F.lit(float(DAILY_SCALE))
+        return units(F.sum(exact(F.col(c))), DAILY_SCALE) / F.lit(float(DAILY_SCALE))
+
+    def mean_of(c: str) -> Column:
+        return units(F.sum(exact(F.col(c))), DAILY_SCALE) / (F.count(F.lit(1)) * F.lit(float(DAILY_SCALE)))
 
-    return by_key(daily, series).groupBy(series, "date").agg(
+    merged = daily.groupBy(series, "date").agg(
         F.min("product_code").alias("product_code"),
         F.max("on_promotion").alias("on_promotion"),
         total("quantity").alias("quantity"),
@@ -215,15 +215,16 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
         mean_of("cost_value").alias("cost_value"),
         total("total_value").alias("total_value"),
     )
+    return by_key(merged, series)
 
 
 def quality_counts(lines: DataFrame, sales: DataFrame, products: DataFrame, start: str, end: str) -> DataFrame:
     """Rows the rollup leaves out or fills in, one line of counts.
 
-    Every join side is aggregated or semi-joined on its key, so each count is one
-    partial aggregation.
+    Both join sides hold a key once, so a repeated sale or product counts no line
+    twice, and each count is one partial aggregation.
     """
-    days = sale_days(sales)
+    days = sale_days(sales).groupBy("sale_id").agg(F.min("date").alias("date"))
     known = products.select("product_code").distinct().withColumn("_known", F.lit(1))
     joined = lines.join(days, "sale_id", "left").join(known, "product_code", "left")
     inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))

@@ -12,8 +12,11 @@ from shelfcast.sources.star import END, SPLIT, START, YEAR, Store
 CLOSED_FORM = {"naive": "lag_1", "mean7": "rolling_mean_7"}
 
 
-def daily(store: Store, start: str = START, end: str = END, wanted: DataFrame | None = None) -> DataFrame:
-    return rollup.daily_sales(store.lines, store.sales, store.products, start, end, wanted)
+def daily(
+    store: Store, start: str = START, end: str = END, wanted: DataFrame | None = None, split_hot: bool = False
+) -> DataFrame:
+    """Daily totals; ``split_hot`` for stores where one product's day has more prices than a task should sort."""
+    return rollup.daily_sales(store.lines, store.sales, store.products, start, end, wanted, split_hot)
 
 
 def merged(store: Store, start: str = START, end: str = END, wanted: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,6 @@ from shelfcast.schemas import EXPORT_COLUMNS, FEATURES
 from shelfcast.operators.calendar import LOCAL_HOLIDAYS, NATIONAL_HOLIDAYS
 from shelfcast.sources.star import END, SPLIT, START, YEAR
 
-SEQUENCE_COLUMNS = ("lag_1", "day_of_week", "holiday", "on_promotion")
 MEASURES = ("mae", "rmse", "mape", "smape")
 
 
@@ -312,7 +311,6 @@ top AS (
     flag = f"CASE WHEN {_on('date', NATIONAL_HOLIDAYS)} THEN 1 ELSE 0 END AS holiday"
     lags = [f"lag_{n}" for n in (1, 7, 14, 21, 30)]
     before7 = "PARTITION BY barcode ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING"
-    sequence = ", ".join(f"CAST({c} AS BIGINT)" for c in SEQUENCE_COLUMNS)
     pooled = "SELECT {keys}, {scores}, count(*) AS n FROM {source} GROUP BY {keys}"
     leak_groups = ", ".join(
         f"CASE WHEN min({c}) < max({c}) AND min(quantity) < max(quantity) THEN covar_pop({c}, quantity) / (stddev_pop({c}) * stddev_pop(quantity)) END AS {c}"
@@ -448,12 +446,13 @@ FROM windows GROUP BY barcode, window_id""",
   FROM (SELECT barcode, window_id, {leak_groups} FROM windows WHERE role = 'train' GROUP BY barcode, window_id) AS g) AS u""",
             ["corr"],
             digits=4,
-            ctes=_base() + "," + _windows(365, 31, 30, "train"),
+            ctes=weekly,
         ),
         "sequences": _tidy(
-            f"""SELECT barcode, date, quantity AS target, array_to_string(flatten(steps), ',') AS sequence FROM (
-  SELECT barcode, date, quantity, list([{sequence}]) OVER ({before7}) AS steps FROM features) AS s WHERE len(steps) = 7""",
-            ["target"],
+            f"""SELECT barcode, date, target, CAST(step - 1 AS INTEGER) AS step, {', '.join(f"CAST(steps[step][{i}] AS DOUBLE) AS {c}" for i, c in enumerate(FEATURES, 1))}
+FROM (SELECT barcode, date, quantity AS target, list([{', '.join(f"CAST({c} AS DOUBLE)" for c in FEATURES)}]) OVER ({before7}) AS steps FROM features) AS s,
+  generate_series(1, 7) AS g(step) WHERE len(steps) = 7""",
+            ["target", *FEATURES],
             ["date"],
             ctes=_base(),
         ),

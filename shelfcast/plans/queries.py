@@ -37,7 +37,6 @@ REGISTRY: dict[str, Query] = {}
 MODELS = list(demand.CLOSED_FORM)
 WEEKLY = folds.Fold(365, 7, 7)
 MONTHLY = folds.Fold(365, 31, 30)
-SEQUENCE_COLUMNS = ("lag_1", "day_of_week", "holiday", "on_promotion")
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -246,15 +245,16 @@ def scaled_features(spark, sf_dir):
 
 @query("leakage_corr", digits=4)
 def leakage_corr(spark, sf_dir):
-    return scaling.leakage_correlations(train(spark, sf_dir), FEATURES, MONTHLY)
+    """Every weekly backtest window, as the check inside the loop does."""
+    return scaling.leakage_correlations(train(spark, sf_dir), FEATURES, WEEKLY)
 
 
 @query("sequences")
 def sequences(spark, sf_dir):
     rows = inputs(spark, sf_dir)
-    steps = folds.sequences(rows, SEQUENCE_COLUMNS)
-    text = F.array_join(F.transform(F.flatten("sequence"), lambda x: x.cast("bigint").cast("string")), ",")
-    return steps.select("barcode", "date", "target", text.alias("sequence"))
+    steps = folds.sequences(rows, FEATURES).select("barcode", "date", "target", F.posexplode("sequence").alias("step", "inputs"))
+    inputs_by_name = [F.get("inputs", F.lit(i)).alias(c) for i, c in enumerate(FEATURES)]
+    return steps.select("barcode", "date", "target", "step", *inputs_by_name)
 
 
 # --------------------------------------------------------- scores and backtest

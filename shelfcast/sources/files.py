@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,17 +14,56 @@ from shelfcast.schemas import EXPORT_COLUMNS, SERIES_FILE
 CORRUPT = "_corrupt_record"
 
 
+WIDTH = 32  # columns of a product file that are looked at
+
+
+def raw_schema() -> T.StructType:
+    """All columns as text, under their places."""
+    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(WIDTH)])
+
+
+def _cells() -> Column:
+    return F.array(*[F.trim(f"c{i}") for i in range(WIDTH)])
+
+
+def _is_header() -> Column:
+    return F.coalesce(F.array_contains("cells", "Date"), F.lit(False))
+
+
+def headers(rows: DataFrame) -> DataFrame:
+    """``_path, header`` of each file of ``rows(_path, cells)``."""
+    return rows.where(_is_header()).groupBy("_path").agg(F.min("cells").alias("header"))
+
+
+def with_path(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_file"), _cells().alias("cells"))
+
+
+def parsed(rows: DataFrame, head: DataFrame) -> DataFrame:
+    """Cells by the names in their file's header, whatever its order, and ``bad`` for rows that do not parse.
+
+    A row is bad if its date is missing or a cell holds text that is no value of
+    the column; so is every row of a file without a header. Header rows go.
+    """
+    joined = rows.where(~_is_header()).join(head, "_path", "left")
+    columns, wrong = [], [F.col("header").isNull()]
+    for f in SERIES_FILE.fields:
+        place = F.array_position("header", f.name)
+        cell = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
+        value = cell.try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        if f.dataType != T.StringType():
+            wrong.append(cell.isNotNull() & (cell != "") & value.isNull())
+        if f.name == "Date":
+            wrong.append(value.isNull())
+    bad = reduce(lambda x, y: x | y, [F.coalesce(w, F.lit(False)) for w in wrong])
+    return joined.select("_file", F.array_join("cells", ",").alias(CORRUPT), *columns, bad.alias("bad"))
+
+
 def _read_csv(spark: SparkSession, folder: str, glob: str, recursive: bool) -> DataFrame:
-    return (
-        spark.read.schema(T.StructType([*SERIES_FILE.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .csv(folder)
-        .withColumn("_file", F.col("_metadata.file_name"))
-    )
+    reader = spark.read.schema(raw_schema()).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    rows = with_path(reader.csv(folder))
+    return parsed(rows, headers(rows))
 
 
 def read_series(
@@ -30,7 +71,7 @@ def read_series(
 ) -> tuple[DataFrame, DataFrame]:
     """All product files of a folder as one table, and the rows that do not parse.
 
-    The barcode is the one in the file name. With ``only_product_files`` other
+    Columns are found by the file's header. The barcode is the one in the file name. With ``only_product_files`` other
     names are left out, otherwise every visible ``.csv`` counts and its stem is
     the barcode.
     """
@@ -38,12 +79,11 @@ def read_series(
     rows = _read_csv(spark, folder, glob, recursive)
     key = text.barcode_of_file(F.col("_file")) if only_product_files else text.stem(F.col("_file"))
     rows = rows.withColumn("barcode_key", key)
-    bad = F.col(CORRUPT).isNotNull() | F.col("Date").isNull()
-    good = rows.where(~bad).select(
+    good = rows.where("NOT bad").select(
         F.col("barcode_key").alias("barcode"),
         *[F.col(old).alias(new) for new, old in EXPORT_COLUMNS.items() if new != "barcode"],
     )
-    rejected = rows.where(bad).select(F.col("barcode_key").alias("barcode"), F.col("_file").alias("file"), CORRUPT)
+    rejected = rows.where("bad").select(F.col("barcode_key").alias("barcode"), F.col("_file").alias("file"), CORRUPT)
     return good, rejected
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions import text
-from shelfcast.schemas import EXPORT_COLUMNS, SERIES_FILE
+from shelfcast.schemas import EXPORT_COLUMNS
+from shelfcast.sources import files
 
 
 def new_files(
@@ -29,13 +30,26 @@ def new_files(
     return reader.load(folder)
 
 
-def new_series(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of product series, the barcode taken from the file name."""
-    rows = new_files(spark, folder, SERIES_FILE, "csv", "produto_*.csv", files_per_batch)
-    return rows.select(
-        text.barcode_of_file(F.col("_metadata.file_name")).alias("barcode"),
-        *[F.col(old).alias(new) for new, old in EXPORT_COLUMNS.items() if new != "barcode"],
-    )
+def new_series(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None, rejects: bool = False
+) -> DataFrame:
+    """A stream of product series, the barcode taken from the file name.
+
+    Columns are found by each file's header, read from the files that are there
+    when the stream is set up. Rows that do not parse, and files that came since,
+    are left out; with ``rejects`` the stream has them instead, as
+    ``barcode, file, _corrupt_record``.
+    """
+    raw = files.raw_schema()
+    there = spark.read.schema(raw).option("pathGlobFilter", "produto_*.csv").csv(folder)
+    reader = spark.readStream.schema(raw).format("csv").option("pathGlobFilter", "produto_*.csv")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = files.parsed(files.with_path(reader.load(folder)), files.headers(files.with_path(there)))
+    barcode = text.barcode_of_file(F.col("_file")).alias("barcode")
+    if rejects:
+        return rows.where("bad").select(barcode, F.col("_file").alias("file"), files.CORRUPT)
+    return rows.where("NOT bad").select(barcode, *[F.col(old).alias(new) for new, old in EXPORT_COLUMNS.items() if new != "barcode"])
 
 
 def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:

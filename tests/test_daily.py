@@ -200,3 +200,37 @@ def test_text_dates(spark):
     products = spark.createDataFrame([(1, "7000001")], schemas.PRODUCTS)
     q = rollup.quality_counts(lines, sales, products, "2024-01-01", "2024-12-31").first()
     assert (q.lines, q.without_date, q.outside_period) == (3, 2, 0)
+
+
+def test_sums_are_exact_and_rounding_has_no_limit(spark):
+    from pyspark.sql import functions as F
+
+    from shelfcast.functions.numeric import half_up
+    from shelfcast.operators import rollup
+
+    schema = "sale_id long, product_code long, barcode string, on_promotion int, quantity double, returned_quantity double, "
+    schema += "unit_value double, cost_value double, discount double, increase double"
+    rows = [(1, 1, "b", 0, 0.33334, 0.0, 2.0, 1.0, 0.0, 0.0)] * 3 + [(1, 2, "c", 0, float("nan"), None, 5.0, float("nan"), 0.1, 0.0)]
+    sales = spark.createDataFrame([(1, "2024-01-02"), (1, "2024-01-02")], "sale_id long, sold_at string")
+    products = spark.createDataFrame([(1, "b"), (2, "c")], "product_code long, barcode string")
+    lines = spark.createDataFrame(rows, schema)
+    once = rollup.daily_sales(lines, sales.distinct(), products, "2024-01-01", "2024-12-31").collect()
+    got = {r.product_code: r for r in once}
+    assert got[1].quantity == 1.0 and got[1].total_value == 2.0
+    assert got[2].quantity == 0.0 and got[2].cost_value == 0.0 and got[2].discount == 0.1
+    assert rollup.quality_counts(lines, sales, products, "2024-01-01", "2024-12-31").first().lines == 4
+    values = [(2.5e13, 6), (1.8e16, 3), (-1.8e16, 3), (2.4999, 2), (-0.0005, 3), (9.3e18, 6)]
+    for value, digits in values:
+        rounded = spark.range(1).select(half_up(F.lit(value), digits)).first()[0]
+        assert rounded == pytest.approx(value, abs=0.5 * 10**-digits, rel=1e-15)
+    assert spark.range(1).select(half_up(F.lit(None).cast("double"))).first()[0] is None
+
+
+def test_days_are_combined_before_the_series_shuffle(spark):
+    from shelfcast.operators import rollup
+
+    columns = "product_code long, on_promotion int, quantity double, returned_quantity double, unit_value double, "
+    columns += "cost_value double, discount double, increase double, total_value double"
+    daily = spark.createDataFrame([], f"barcode string, date date, {columns}")
+    plan = rollup.merge_duplicate_days(daily)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("REPARTITION_BY_NUM") < plan.index("partial_")  # the tree is printed from its top

@@ -221,3 +221,21 @@ def test_new_files_are_forecast_once(spark, tmp_path):
     forecast.forecast_new_files(spark, str(raw), *args)
     got = spark.read.parquet(args[0]).groupBy("barcode").agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("batch"))
     assert {tuple(r) for r in got.collect()} == {("1", 41, 0), ("2", 41, 1)}
+
+
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    write_product(tmp_path, "1")
+    names = HEADER.split(",")
+    swapped = ["Holiday", *names[:-1]]
+    (tmp_path / "produto_2.csv").write_text(",".join(swapped) + "\n0,2024-01-01,2,1,5.0,0.5,0.1,0.2,10.0,2.0,1.0\n0,bad,2,1,5,0,0,0,1,1,1\n0,2024-01-02,2,1,five,0,0,0,1,1,1\n")
+    (tmp_path / "produto_3.csv").write_text("2024-01-01,3,0,1,0,0,0,1,2,1,0\n")
+    good, bad = files.read_series(spark, str(tmp_path))
+    row = good.where("barcode = '2'").collect()
+    assert [(r.date.day, r.on_promotion, r.quantity, r.returned_quantity, r.holiday) for r in row] == [(1, 1, 5.0, 0.5, 0)]
+    assert sorted(r.barcode for r in bad.collect()) == ["2", "2", "3"]
+    assert good.where("barcode = '1'").count() == 3
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    intake.append_available(intake.new_series(spark, str(tmp_path)), out, ckpt)
+    assert sorted(map(tuple, spark.read.parquet(out).select(*good.columns).collect())) == sorted(map(tuple, good.collect()))
+    intake.append_available(intake.new_series(spark, str(tmp_path), rejects=True), out + "-bad", ckpt + "-bad")
+    assert sorted(r.barcode for r in spark.read.parquet(out + "-bad").collect()) == ["2", "2", "3"]
