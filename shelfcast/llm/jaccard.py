@@ -118,6 +118,16 @@ def _stored(batch: pa.RecordBatch, name: str = "tokens") -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+def _of_nodes(mask_value):
+    """The stored sets whose node passes the mask."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_mask(batch.column("node").to_numpy(), mask_value.value)))
+
+    return run
+
+
 def _token_counts(batches):
     """How often each token occurs in the sets of a batch."""
     for batch in batches:
@@ -285,9 +295,11 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     sets = text.mapInArrow(_sets(size, send(mask_of(copies, "row_key"))), "node bigint, n bigint, tokens array<bigint>")
     sets = checkpointed(sets, "sets")
 
-    counts = sets.select("tokens").mapInArrow(_token_counts, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    family = send(mask_of(second.where(F.col("m") > SHORT), "node"))
+    large = sets.mapInArrow(_of_nodes(family), sets.schema)  # the only sets whose pairs the second order may have missed
+    counts = large.select("tokens").mapInArrow(_token_counts, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
-    third = _shared_lists(sets.mapInArrow(_stored_prefixes(percent, 2, frequent), heads))
+    third = _shared_lists(large.mapInArrow(_stored_prefixes(percent, 2, frequent), heads))
     fronts = checkpointed(sets.mapInArrow(_stored_prefixes(percent, 0), heads), "fronts")
     short = _list_pairs(_labelled(third.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
     # A document with too few frequent tokens has no partner in a long list.
@@ -329,10 +341,13 @@ def _sharing_enough(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFr
 
 def _extend(sets, fronts, pairs, labels, percent, frequent):
     """The components after the pairs that hold have been added as links."""
-    pairs = _sharing_enough(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), fronts, percent)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = checkpointed(_sharing_enough(pairs, fronts, percent).distinct(), "pairs")
+    ends = pairs.sparkSession.sparkContext.broadcast(mask_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node"))
+    sets = sets.mapInArrow(_of_nodes(ends), sets.schema)
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
-    checked = pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
+    checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")
     new = checked.mapInArrow(_verified(percent, frequent), "a bigint, b bigint").distinct()
     if labels is not None:
         new = new.unionAll(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
