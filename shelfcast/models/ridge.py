@@ -75,7 +75,7 @@ def steps_before(x: np.ndarray, steps: int) -> np.ndarray:
     return np.hstack([x[k : k + count] for k in range(steps)])
 
 
-def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
+def _backtest(inputs, split, fold, columns, series, sequence_steps, clip, penalties=PENALTIES):
     columns = list(columns)
     scaled = scaled_inputs(inputs, split, columns, series).where(F.col("date") < F.lit(split).cast("date"))
 
@@ -85,7 +85,7 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
     def windows(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         x, y = pdf[columns].to_numpy(float), pdf["quantity"].to_numpy(float)
-        rows, ids, forecasts, penalties = [], [], [], []
+        rows, ids, forecasts, chosen = [], [], [], []
         for w, start in enumerate(range(0, len(x) - length + 1, step)):
             middle, stop = start + train, start + length
             xa, ya, xb, first = x[start:middle], y[start:middle], x[middle:stop], middle
@@ -95,11 +95,11 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
                 xb, first = steps_before(xb, sequence_steps), middle + sequence_steps
             if not len(xa) or not len(xb):
                 continue
-            beta, penalty = fit(with_intercept(xa), ya)
+            beta, penalty = fit(with_intercept(xa), ya, penalties)
             rows.append(np.arange(first, stop))
             ids.append(np.full(len(xb), w))
             forecasts.append(with_intercept(xb) @ beta)
-            penalties.append(np.full(len(xb), penalty))
+            chosen.append(np.full(len(xb), penalty))
         index = np.concatenate(rows) if rows else np.empty(0, int)
         test = pdf[[series, "date", "quantity"]].iloc[index].reset_index(drop=True)
         return pd.DataFrame(
@@ -109,7 +109,7 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip):
                 "date": test["date"],
                 "real": test["quantity"],
                 "forecast": np.concatenate(forecasts) if forecasts else [],
-                "penalty": np.concatenate(penalties) if penalties else [],
+                "penalty": np.concatenate(chosen) if chosen else [],
             }
         )
 
@@ -125,13 +125,14 @@ def backtest(
     columns: Iterable[str] = FEATURES,
     series: str = "barcode",
     clip: bool = True,
+    penalties: Iterable[float] = PENALTIES,
 ) -> DataFrame:
     """A model per product and window on the same day's inputs.
 
     A series is sent once and cut into its windows in the task, instead of being
     copied once per window before the shuffle.
     """
-    return _backtest(inputs, split, fold, columns, series, 0, clip)
+    return _backtest(inputs, split, fold, columns, series, 0, clip, tuple(penalties))
 
 
 def backtest_sequence(

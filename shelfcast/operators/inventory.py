@@ -26,6 +26,15 @@ def processed(predicted: DataFrame, charted: DataFrame) -> DataFrame:
     return barcodes(predicted).intersect(barcodes(charted))
 
 
+def _memberships(**sets: DataFrame) -> DataFrame:
+    """One row per product with a flag for each set: the sets are tagged and folded in one aggregation, without joins."""
+    rows = None
+    for tag, df in sets.items():
+        part = df.where(F.col("barcode").isNotNull()).select("barcode", *[F.lit(int(t == tag)).alias(t) for t in sets])
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("barcode").agg(*[F.max(t).cast("boolean").alias(t) for t in sets])
+
+
 def inventory_status(raw: DataFrame, moved: DataFrame, predicted: DataFrame, charted: DataFrame) -> DataFrame:
     """State of each processed product.
 
@@ -33,28 +42,21 @@ def inventory_status(raw: DataFrame, moved: DataFrame, predicted: DataFrame, cha
     processed and among the moved ones, ``only_processed`` is in neither. A product
     in both file sets has two rows.
     """
-    done, raw, moved = processed(predicted, charted), barcodes(raw), barcodes(moved)
-    states = {
-        "can_move": done.join(raw, "barcode", "left_semi"),
-        "already_moved": done.join(moved, "barcode", "left_semi"),
-        "only_processed": done.join(raw, "barcode", "left_anti").join(moved, "barcode", "left_anti"),
-    }
-    rows = [df.select("barcode", F.lit(state).alias("status")) for state, df in states.items()]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    states = F.array(
+        F.when(F.col("raw"), "can_move"),
+        F.when(F.col("moved"), "already_moved"),
+        F.when(~F.col("raw") & ~F.col("moved"), "only_processed"),
+    )
+    per_product = _memberships(raw=raw, moved=moved, predicted=predicted, charted=charted)
+    return per_product.where("predicted AND charted").select("barcode", F.explode(F.array_compact(states)).alias("status"))
 
 
 def inventory_counts(raw: DataFrame, moved: DataFrame, predicted: DataFrame, charted: DataFrame) -> DataFrame:
     """How many products are in each set and state.
 
-    The four sets are tagged and folded to one row per product, so the counts are
-    one aggregation and not one join each.
+    The counts are one aggregation and not one join each.
     """
-    tags = {"raw": raw, "moved": moved, "predicted": predicted, "charted": charted}
-    rows = None
-    for tag, df in tags.items():
-        part = df.where(F.col("barcode").isNotNull()).select("barcode", *[F.lit(int(t == tag)).alias(t) for t in tags])
-        rows = part if rows is None else rows.unionByName(part)
-    per_product = rows.groupBy("barcode").agg(*[F.max(t).cast("boolean").alias(t) for t in tags])
+    per_product = _memberships(raw=raw, moved=moved, predicted=predicted, charted=charted)
     done = F.col("predicted") & F.col("charted")
     return per_product.agg(
         F.count_if("raw").alias("total_raw"),

@@ -435,17 +435,15 @@ FROM windows GROUP BY barcode, window_id""",
                 "train GROUP BY barcode",
             ),
             ["mean", "std"],
-            digits=4,
             ctes=_base(),
         ),
-        "scaled_features": _tidy(_scaled(FEATURES), FEATURES, ["date"], digits=4, ctes=_base()),
+        "scaled_features": _tidy(_scaled(FEATURES), FEATURES, ["date"], ctes=_base()),
         "leakage_corr": _tidy(
             f"""SELECT barcode, window_id, feature, corr, CASE WHEN abs(corr) > 0.99 THEN 1 ELSE 0 END AS suspicious FROM (
   SELECT barcode, window_id, unnest([{', '.join(f"'{c}'" for c in FEATURES)}]) AS feature,
          unnest([{', '.join(FEATURES)}]) AS corr
   FROM (SELECT barcode, window_id, {leak_groups} FROM windows WHERE role = 'train' GROUP BY barcode, window_id) AS g) AS u""",
             ["corr"],
-            digits=4,
             ctes=weekly,
         ),
         "sequences": _tidy(
@@ -468,6 +466,16 @@ FROM (SELECT barcode, date, quantity AS target, list([{', '.join(f"CAST({c} AS D
             ["date"],
             ctes=weekly,
         ),
+        "backtest_linear": _tidy(
+            """SELECT w.barcode, w.window_id, date, quantity AS real, a + b * lag_1 AS forecast FROM windows AS w JOIN (
+  SELECT barcode, window_id, regr_intercept(quantity, lag_1) AS a, regr_slope(quantity, lag_1) AS b
+  FROM windows WHERE position < window_id * 7 + 292 GROUP BY barcode, window_id) AS f
+  ON w.barcode = f.barcode AND w.window_id = f.window_id WHERE role = 'test'""",
+            ["real", "forecast"],
+            ["date"],
+            digits=4,
+            ctes=weekly,
+        ),
         "metrics_by_window": _tidy(
             pooled.format(
                 keys="barcode, window_id",

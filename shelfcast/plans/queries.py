@@ -232,18 +232,18 @@ def validation_split(spark, sf_dir):
     )
 
 
-@query("scaler_stats", digits=4)
+@query("scaler_stats")
 def scaler_stats(spark, sf_dir):
     return scaling.scaler_stats(train(spark, sf_dir), FEATURES)
 
 
-@query("scaled_features", digits=4)
+@query("scaled_features")
 def scaled_features(spark, sf_dir):
     is_train = F.col("date") < F.lit(SPLIT).cast("date")
     return scaling.scale(inputs(spark, sf_dir), FEATURES, is_train).select("barcode", "date", *FEATURES)
 
 
-@query("leakage_corr", digits=4)
+@query("leakage_corr")
 def leakage_corr(spark, sf_dir):
     """Every weekly backtest window, as the check inside the loop does."""
     return scaling.leakage_correlations(train(spark, sf_dir), FEATURES, WEEKLY)
@@ -427,6 +427,12 @@ def backtest_ridge(spark, sf_dir):
     return ridge.backtest(inputs(spark, sf_dir), SPLIT, WEEKLY)
 
 
+@query("backtest_linear", digits=4)
+def backtest_linear(spark, sf_dir):
+    """The window models with one input and no penalty, which is a straight line per window."""
+    return ridge.backtest(inputs(spark, sf_dir), SPLIT, WEEKLY, ["lag_1"], clip=False, penalties=[0.0]).drop("penalty")
+
+
 @query("backtest_sequence")
 def backtest_sequence(spark, sf_dir):
     return ridge.backtest_sequence(inputs(spark, sf_dir), SPLIT)

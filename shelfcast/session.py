@@ -49,18 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; nothing is ever overwritten or removed."""
+    """A fresh path in the shared folder; nothing is ever overwritten."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Ask the file system to delete the path when the driver's process ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several jobs read the same intermediate result (model fits). The
-    files outlive lost executors, so nothing upstream is computed again.
+    files outlive lost executors, so nothing upstream is computed again. They go
+    when the application ends.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _remove_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
