@@ -128,12 +128,16 @@ def _of_nodes(mask_value):
     return run
 
 
-def _token_counts(batches):
-    """How often each token occurs in the sets of a batch."""
-    for batch in batches:
-        if batch.num_rows:
-            tokens, counts = np.unique(np.concatenate(_stored(batch)), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
+def _token_counts(mask_value):
+    """How often each token occurs in the chosen sets of a batch."""
+
+    def run(batches):
+        for batch in _of_nodes(mask_value)(batches):
+            if batch.num_rows:
+                tokens, counts = np.unique(np.concatenate(_stored(batch)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
+
+    return run
 
 
 def _prefix_row(key: int, tokens: np.ndarray, order: int, frequent: np.ndarray | None, percent: int) -> tuple:
@@ -158,12 +162,12 @@ def _second_prefixes(size: int, percent: int, mask_value, frequent_value):
     return run
 
 
-def _stored_prefixes(percent: int, order: int, frequent_value=None):
-    """Prefixes of stored sets under an order."""
+def _stored_prefixes(percent: int, order: int, mask_value=None, frequent_value=None):
+    """Prefixes of stored sets under an order; with a mask, of the chosen ones."""
 
     def run(batches):
         frequent = frequent_value.value if frequent_value else None
-        for batch in slices(batches):
+        for batch in slices(_of_nodes(mask_value)(batches) if mask_value else batches):
             keys = batch.column("node").to_pylist()
             yield _prefix_batch([_prefix_row(k, t, order, frequent, percent) for k, t in zip(keys, _stored(batch))])
 
@@ -285,7 +289,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
 
     first = _shared_lists(members.where("n > 0").select("node", "n", "rare", "head"))
     some, often = send(mask_of(first, "node")), send(mask_of(first, "token", TOKEN_BITS))
-    second = _shared_lists(text.mapInArrow(_second_prefixes(size, percent, some, often), heads))
+    second = _shared_lists(checkpointed(text.mapInArrow(_second_prefixes(size, percent, some, often), heads), "heads"))
     pairs = _list_pairs(_labelled(second.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
     pairs = checkpointed(pairs.distinct(), "pairs")
 
@@ -296,10 +300,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     sets = checkpointed(sets, "sets")
 
     family = send(mask_of(second.where(F.col("m") > SHORT), "node"))
-    large = sets.mapInArrow(_of_nodes(family), sets.schema)  # the only sets whose pairs the second order may have missed
-    counts = large.select("tokens").mapInArrow(_token_counts, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    # Only the sets of long lists are counted and indexed: the second order has given all pairs of the others.
+    counts = sets.mapInArrow(_token_counts(family), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
-    third = _shared_lists(large.mapInArrow(_stored_prefixes(percent, 2, frequent), heads))
+    third = _shared_lists(checkpointed(sets.mapInArrow(_stored_prefixes(percent, 2, family, frequent), heads), "heads"))
     fronts = checkpointed(sets.mapInArrow(_stored_prefixes(percent, 0), heads), "fronts")
     short = _list_pairs(_labelled(third.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
     # A document with too few frequent tokens has no partner in a long list.
