@@ -75,10 +75,10 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.trim(plain))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``whole``, all columns of a row, beside its host, its text and a key; identical rows share the key."""
+def keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``whole``, the wanted columns of a row, beside its host, its text and a key; identical rows share the key."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.struct("*").alias("whole"), F.col("source").alias("host"), text.alias("words_of"), F.xxhash64("doc_id", text, "source").alias("key"))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("whole"), F.col("source").alias("host"), text.alias("words_of"), F.xxhash64("doc_id", text, "source").alias("key"))
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -114,9 +114,10 @@ def frequent_places(rows: DataFrame, share: float, least: int) -> DataFrame:
     return hits.groupBy("key").agg(F.sum("n").alias("lost"), F.collect_list("place").alias("places"))
 
 
-def _judged(docs: DataFrame, share: float, least: int, max_lost: float) -> DataFrame:
-    rows = keyed(docs)
-    judged = counted(rows).join(frequent_places(rows, share, least), "key", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
+def _judged(docs: DataFrame, columns: list[str], share: float, least: int, max_lost: float) -> DataFrame:
+    """Rows with their counts and verdict; of the text, only what ``columns`` name goes through the join."""
+    rows = keyed(docs, columns)
+    judged = counted(rows).drop("words_of", "host").join(frequent_places(rows, share, least), "key", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
     depleted = (F.col("lost") > F.col("n_words") * max_lost) | (F.col("n_words") - F.col("lost") < 10)
     return judged.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
@@ -129,7 +130,7 @@ def line_verdicts(docs: DataFrame, share: float = 0.05, least: int = 20, max_los
     as empty and fails; a null source is a host like any other; repeated rows
     get equal results. Other columns are not read.
     """
-    return _judged(docs.select("doc_id", "text", "source"), share, least, max_lost).select(
+    return _judged(docs, ["doc_id"], share, least, max_lost).select(
         F.col("whole.doc_id").alias("doc_id"),
         "n_words",
         "word_chars",
@@ -147,8 +148,8 @@ def clean_documents(docs: DataFrame, share: float = 0.05, least: int = 20, max_l
 
     ``n_chars``, where there is one, is counted anew for a text that lost lines.
     """
-    kept = _judged(docs, share, least, max_lost).where("kept")
-    lines = F.split("words_of", "\n")
+    kept = _judged(docs, docs.columns, share, least, max_lost).where("kept")
+    lines = F.split("whole.text", "\n")
     rest = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("places")), lambda i: F.get(x, i)), "\n"))
     kept = kept.withColumn("cut", F.when(F.col("places").isNotNull(), rest))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
@@ -158,22 +159,27 @@ def clean_documents(docs: DataFrame, share: float = 0.05, least: int = 20, max_l
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, source FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d),
+w AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-
+]+') AS ws FROM d),
 p AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
       FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)),
 r AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j
       FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM p) WHERE c > 1),
 rep AS (SELECT doc_id, sum(least(5, coalesce(j - i, 5))) AS n FROM r GROUP BY doc_id),
 l AS (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM d),
-k AS (SELECT doc_id, source, t, line, len(regexp_extract_all(line, '[^ 	-]+')) AS n,
-             trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[ 	-]+', ' ', 'g')) AS norm
-      FROM l WHERE regexp_matches(line, '[^ 	-]')),
+k AS (SELECT doc_id, source, t, line, len(regexp_extract_all(line, '[^ 	-
+]+')) AS n,
+             trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[ 	-
+]+', ' ', 'g')) AS norm
+      FROM l WHERE regexp_matches(line, '[^ 	-
+]')),
 often AS (SELECT source, norm FROM (SELECT source, norm, count(DISTINCT t) AS c FROM k GROUP BY source, norm)
           JOIN (SELECT source, count(DISTINCT t) AS h FROM d GROUP BY source) USING (source)
           WHERE c > 20 AND c > h * CAST(0.05 AS DOUBLE)),
 lost AS (SELECT doc_id, sum(n) AS n FROM k SEMI JOIN often USING (source, norm) GROUP BY doc_id),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM k GROUP BY doc_id),
-a AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[ 	-]+', '', 'g')) AS word_chars,
+a AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[ 	-
+]+', '', 'g')) AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
              coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_removed_words
       FROM d JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
