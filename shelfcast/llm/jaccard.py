@@ -8,14 +8,15 @@ verified only if it shares a prefix token under each of them.
 The orders form a cascade. Documents that share a prefix token under the first
 order are indexed under the second, which is the first with all tokens last that
 several documents had in their prefixes: documents that share a passage and no
-more drop out, copies meet again in their next tokens. A short list there gives all its pairs. The documents of long lists (large families
-of copies) are counted token by token and indexed under the third order, with
-all their frequent tokens last: a document far from all others then has only
-rare tokens in its prefix and drops out, and a long list is mostly one family.
+more drop out, copies meet again in their next tokens. A short list there gives
+all its pairs. The documents of long lists (large families of copies) are
+counted token by token and indexed under the third order, with all their
+frequent tokens last: a document far from all others then has only rare tokens
+in its prefix and drops out, and a long list is mostly one family.
 Its members are linked to the list's most central one, that with the fewest
 rare tokens, so pairs grow with the list and not with its square. Lists that
-still hold several components get another centre, and in the end all their
-pairs between components, so that no link between components is lost.
+still hold several components then give all their pairs between components whose
+frequent tokens alone could suffice, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from shelfcast.llm.masks import in_mask, mask_of
 from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, slices, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
+SUMMED_TOKENS = 4_000_000  # that a task holds at a time, 32 MB
 TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
-CENTRES = 2  # further stars in a list before its remaining pairs are compared, and that comparison
 PAIR = ("a", "b", "n_a", "n_b", "rare_a", "rare_b")
 SALTS = (0x0, 0x0, 0xE7037ED1A0B428DB)  # the second order only moves the first one's shared tokens
 
@@ -129,13 +130,23 @@ def _of_nodes(mask_value):
 
 
 def _token_counts(mask_value):
-    """How often each token occurs in the chosen sets of a batch."""
+    """How often each token occurs in the chosen sets of a task, summed up before rows are given out."""
 
     def run(batches):
+        waiting, size = [], 0
+
+        def summed():
+            tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
+
         for batch in _of_nodes(mask_value)(batches):
-            if batch.num_rows:
-                tokens, counts = np.unique(np.concatenate(_stored(batch)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
+            waiting += [t.copy() for t in _stored(batch)]
+            size = sum(map(len, waiting))
+            if size > SUMMED_TOKENS:
+                yield summed()
+                waiting = []
+        if waiting:
+            yield summed()
 
     return run
 
@@ -258,13 +269,9 @@ def _shared_lists(heads: DataFrame) -> DataFrame:
     return checkpointed(rows.join(lengths, "token"), "lists")
 
 
-def _stars(lists: DataFrame, again: bool) -> DataFrame:
-    """Each member of a list with the list's most central one, or, ``again``, with the most central one of another component."""
-    centre = F.min(F.struct("rare", "node", "n", "root")).alias("c")
-    best = lists.groupBy("token").agg(centre)
-    if again:
-        others = lists.join(best, "token").where("root <> c.root").drop("c")
-        best = others.groupBy("token").agg(centre)
+def _stars(lists: DataFrame) -> DataFrame:
+    """Each member of a list with the list's most central one."""
+    best = lists.groupBy("token").agg(F.min(F.struct("rare", "node", "n", "root")).alias("c"))
     pairs = lists.join(best, "token").where("root <> c.root")
     columns = {"a": "node", "b": "c.node", "n_a": "n", "n_b": "c.n", "rare_a": "rare", "rare_b": "c.rare"}
     return pairs.select(*[F.col(columns[k]).alias(k) for k in PAIR])
@@ -310,13 +317,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     rest = third.where((F.col("m") > SHORT) & (100 * (F.col("n") - F.col("rare")) >= percent * F.col("n")))
     of_long = lambda pairs: pairs.where(_could_match(percent) & _could_overlap(percent)).select("a", "b")
     verify = lambda pairs, labels: _extend(sets, fronts, pairs, labels, percent, [often, frequent])
-    labels = verify(pairs.unionAll(short).unionAll(of_long(_stars(_labelled(rest, None), again=False))), None)
-    for turn in range(CENTRES):
-        rest = _unsettled(rest, labels)
-        if rest.isEmpty():
-            break
-        rows = _labelled(rest, labels)
-        labels = verify(of_long(_stars(rows, again=True) if turn + 1 < CENTRES else _list_pairs(rows)), labels)
+    labels = verify(pairs.unionAll(short).unionAll(of_long(_stars(_labelled(rest, None)))), None)
+    rest = _unsettled(rest, labels)
+    if not rest.isEmpty():
+        labels = verify(of_long(_list_pairs(_labelled(rest, labels))), labels)
     found = members.select("doc_id", "row_key", "node", F.col("n").alias("n_shingles"))
     return _labelled(found, labels)
 
