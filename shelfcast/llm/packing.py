@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from shelfcast.llm.texts import Words, checkpointed, present, row_groups, slices, split_words, string_buffer
 
-KEPT_UNITS = 800_000  # that a Python worker remembers, about 110 MB
+KEPT_UNITS = 400_000  # that a Python worker remembers, about 55 MB
 
 
 class Encoder:
