@@ -1,12 +1,12 @@
-"""Passages that repeat across documents, found with a sparse suffix array.
-
-A suffix is kept only where the hash of its first words is the least within a
-window (a minimiser), a choice that depends on the content alone, so equal
-passages keep equal suffixes. Suffixes whose first words occur in one document
-only are dropped; the rest are sorted by Spark and compared with their
-neighbours in that order, and each match is extended to the left and right. A
-suffix carries ``min_words`` words to the right and a window to the left; longer
-passages are covered by the matches of the suffixes along them.
+"""Passages that repeat across documents, found by the hashes of all their stretches of ``min_words`` words.
+
+Each stretch belongs to the first of its grams (runs of half as many words) whose
+hash is the least, a choice that depends on the stretch alone, so equal stretches
+belong to equal grams in all documents. Stretches whose gram occurs in one
+document only are dropped. Neighbouring stretches of one gram make a block; where
+a gram has the same block everywhere, the block is compared as a whole, elsewhere
+each stretch by itself, with all others: a Spark group-by, without a limit on
+candidates.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.masks import in_mask, mask_of
 from shelfcast.llm.texts import (
+    BASE,
     U64,
     checkpointed,
     mix,
@@ -33,8 +34,6 @@ from shelfcast.llm.texts import (
     string_buffer,
 )
 
-NEAR = 3  # neighbours on each side
-STRETCH = 50_000  # suffixes that a task holds at a time
 GRAM_BITS = 24
 
 
@@ -48,9 +47,13 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix((sums[n:] - sums[:-n]) * down[: len(hashes) - n + 1])
 
 
-def _sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
-    """``pick`` (minimum or maximum) over each run of ``n``."""
-    width, out = 1, values
+def _first_least(grams: np.ndarray, n: int) -> np.ndarray:
+    """The place of the least gram, of equals the first, in each run of ``n``."""
+
+    def pick(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(grams[b] < grams[a], b, a)
+
+    width, out = 1, np.arange(len(grams))
     while 2 * width <= n:
         out = pick(out[:-width], out[width:])
         width *= 2
@@ -58,16 +61,23 @@ def _sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def minimisers(hashes: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the grams that are least in some window of ``window`` grams."""
+def blocks(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches of ``min_words`` words in blocks of one least gram.
+
+    Gives the hash of each stretch, and of each block its gram, its first stretch
+    and a key made of the hashes of its stretches.
+    """
+    gram = min_words // 2
+    window = min_words - gram + 1
+    if len(hashes) < min_words:
+        none = np.zeros(0, U64)
+        return none, none, np.zeros(0, np.int64), none
     grams = rolling(hashes, gram)
-    if len(grams) < window:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    least = _sliding(grams, window, np.minimum)
-    edge = np.zeros(window - 1, U64)
-    best = _sliding(np.concatenate([edge, least, edge]), window, np.maximum)
-    at = np.flatnonzero(best == grams)
-    return at, grams[at]
+    owner = _first_least(grams, window)
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    keys = rolling(hashes, min_words)
+    place = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
+    return keys, grams[owner[first]], first, mix(np.add.reduceat(mix(keys + place.astype(U64) * U64(BASE)), first))
 
 
 def _per_document(batch: pa.RecordBatch):
@@ -80,162 +90,55 @@ def _per_document(batch: pa.RecordBatch):
             yield low + r, words.hash[words.first[r] : words.first[r + 1]]
 
 
-def _grams(gram: int, window: int):
-    def run(batches):
-        for batch in slices(batches):
-            keys = batch.column("row_key").to_numpy(zero_copy_only=False)
-            rows, found = [], []
-            for r, hashes in _per_document(batch):
-                grams = np.unique(minimisers(hashes, gram, window)[1])
-                rows.append(np.full(len(grams), keys[r]))
-                found.append(grams)
-            if found:
-                cols = [pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(rows))]
-                yield pa.RecordBatch.from_arrays(cols, ["gram", "row_key"])
-
-    return run
-
-
-def _suffixes(gram: int, window: int, min_words: int, mask_value):
-    """The suffixes whose first words pass the filter: place, right context and reversed left context."""
-    left = window - 1
+def _grams(min_words: int):
+    """The grams of each document with their blocks."""
 
     def run(batches):
-        mask = mask_value.value
         for batch in slices(batches):
-            keys = batch.column("row_key").to_numpy(zero_copy_only=False)
-            ids = batch.column("doc_id").to_pylist()
+            rows = batch.column("row_key").to_numpy(zero_copy_only=False)
             for r, hashes in _per_document(batch):
-                at, grams = minimisers(hashes, gram, window)
-                at = at[in_mask(grams, mask)]
-                if not len(at):
-                    continue
-                short = np.zeros(left + len(hashes) + min_words, ">u4")
-                short[left : left + len(hashes)] = (hashes >> U64(32)).astype(np.uint32) | np.uint32(1)
-                for some in np.array_split(at, len(at) // 20000 + 1):
-                    around = np.concatenate([np.arange(min_words), -1 - np.arange(left)])
-                    context = short[some[:, None] + left + around]
-                    n = len(some)
-                    size = (min_words + left) * 4
-                    data = pa.Array.from_buffers(
-                        pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * size, size, np.int32)), pa.py_buffer(context.tobytes())]
-                    )
-                    cols = [pa.array(np.full(n, keys[r])), pa.array([ids[r]] * n, pa.int64()), pa.array(some), data]
-                    yield pa.RecordBatch.from_arrays(cols, ["row_key", "doc_id", "at", "context"])
+                _, grams, _, block = blocks(hashes, min_words)
+                if len(grams):
+                    cols = [pa.array(signed(grams)), pa.array(np.full(len(grams), rows[r])), pa.array(signed(block))]
+                    yield pa.RecordBatch.from_arrays(cols, ["gram", "row_key", "block"])
 
     return run
 
 
-def _matches(min_words: int, gram: int, edges: bool):
-    """Compare each distinct context with its neighbours in suffix order.
+def _candidates(min_words: int, shared_value, mixed_value, kept_value=None):
+    """Blocks, and single stretches of the grams with several blocks, that may occur in two documents.
 
-    Emits, per context and matching neighbour, the words matched to the left and
-    right and the least document id on the other side, looked for in the whole
-    run of suffixes that share the match. With ``edges``, the first
-    and last rows of the partition are passed on as they are, to be compared
-    with those of the partitions before and after.
+    A candidate has a key, its first word and its number of stretches.
     """
 
-    def matched(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        same = (a == b) & (a != 0)
-        return np.where(same.all(1), same.shape[1], same.argmin(1))
-
-    def rows_of(batch: pa.RecordBatch) -> dict:
-        data, _ = string_buffer(batch.column("context"))
-        words = data.view(">u4").reshape(batch.num_rows, -1)
-        cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("context_key", "low", "high", "first")}
-        return {"words": words, "raw": np.array(batch.column("context").to_pylist(), object), **cols}
-
-    def join(a: dict | None, b: dict) -> dict:
-        return b if a is None else {k: np.concatenate([a[k], b[k]]) for k in b}
-
-    def earliest(words: np.ndarray, first: np.ndarray, of: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """The least id among the suffixes that share a match of ``l`` and ``r`` words with row ``of``.
-
-        They stand together: those with ``r`` words to the right, or, where the right
-        context is full, with ``l`` reversed words to the left after it as well. The
-        run's first document is taken if it holds the left words, too.
-        """
-        least = np.full(len(of), LAST)
-        need = np.where(r == min_words, min_words + l, r)
-        shared = matched(words[:-1], words[1:])
-        for level in np.unique(need):
-            mine = np.flatnonzero(need == level)
-            run = np.concatenate([[0], np.cumsum(shared < level)])
-            order = np.lexsort((first, run))
-            best = order[np.concatenate([[True], run[order][1:] != run[order][:-1]])]
-            found = best[run[of[mine]]]
-            fine = matched(words[found, min_words:], words[of[mine], min_words:]) >= l[mine]
-            least[mine[fine]] = first[found[fine]]
-        return least
-
-    def spans(rows: dict, fresh: int):
-        words, keys, low, high, first = (rows[k] for k in ("words", "context_key", "low", "high", "first"))
-        right, left = words[:, :min_words], words[:, min_words:]
-        out = []
-        many = np.flatnonzero((low != high) & (np.arange(len(keys)) >= fresh))
-        if len(many):
-            l, r = (left[many] != 0).sum(1), (right[many] != 0).sum(1)
-            fine = l + r >= min_words
-            out.append((many[fine], l[fine], r[fine], first[many][fine]))
-        for d in range(1, NEAR + 1):
-            i = np.arange(max(0, fresh - d), len(keys) - d)
-            if not len(i):
-                continue
-            j = i + d
-            r = matched(right[i], right[j])
-            close = r >= gram
-            i, j, r = i[close], j[close], r[close]
-            l = matched(left[i], left[j])
-            other = (low[i] != low[j]) | (high[i] != high[j]) | (low[i] != high[i])
-            good = (l + r >= min_words) & other
-            i, j, l, r = i[good], j[good], l[good], r[good]
-            out += [(i, l, r, first[j]), (j, l, r, first[i])]
-        of, l, r, near = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(4))
-        if not len(of):
-            return None
-        return keys[of], l, r, np.minimum(near, earliest(words, first, of, l, r))
-
     def run(batches):
-        held, waiting, seen = None, [], 0
-
-        def worked(rows: dict):
-            nonlocal held
-            both = join(held, rows)
-            found = spans(both, len(both["low"]) - len(rows["low"]))
-            held = {k: v[-NEAR:] for k, v in both.items()}
-            if found is not None:
-                none = pa.nulls(len(found[0]), pa.int64())
-                arrays = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*arrays, none, none, pa.nulls(len(found[0]), pa.binary())], NAMES)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = rows_of(batch)
-            if edges and seen < NEAR:
-                yield passed({k: v[: NEAR - seen] for k, v in rows.items()})
-            seen += len(rows["low"])
-            waiting.append(rows)
-            if sum(len(w["low"]) for w in waiting) >= STRETCH:
-                yield from worked({k: np.concatenate([w[k] for w in waiting]) for k in rows})
-                waiting = []
-        if waiting:
-            yield from worked({k: np.concatenate([w[k] for w in waiting]) for k in waiting[0]})
-        if edges and held is not None:
-            yield passed(held)
-
-    def passed(rows: dict) -> pa.RecordBatch:
-        n = len(rows["low"])
-        zero = pa.nulls(n, pa.int32())
-        arrays = [pa.array(rows["context_key"]), zero, zero, pa.array(rows["first"]), pa.array(rows["low"]), pa.array(rows["high"])]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(list(rows["raw"]), pa.binary())], NAMES)
+        shared, mixed = shared_value.value, mixed_value.value
+        kept = kept_value.value if kept_value else None
+        for batch in slices(batches):
+            rows = batch.column("row_key").to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for r, hashes in _per_document(batch):
+                keys, grams, first, block = blocks(hashes, min_words)
+                count = np.diff(np.append(first, len(keys)))
+                several = in_mask(grams, mixed)
+                whole = in_mask(grams, shared) & ~several
+                single = np.flatnonzero(np.repeat(several, count))
+                key = np.concatenate([block[whole], keys[single]])
+                at = np.concatenate([first[whole], single])
+                many = np.concatenate([count[whole], np.ones(len(single), np.int64)])
+                if kept is not None:
+                    some = in_mask(key, kept)
+                    key, at, many = key[some], at[some], many[some]
+                for low in range(0, len(key), 20000):
+                    part = slice(low, low + 20000)
+                    n = len(key[part])
+                    cols = [pa.array(signed(key[part])), pa.array(np.full(n, rows[r])), pa.array(np.full(n, ids[r]))]
+                    cols += [pa.array(at[part].astype(np.int32)), pa.array(many[part].astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, ["key", "row_key", "doc_id", "at", "stretches"])
 
     return run
 
 
-NAMES = ["context_key", "left", "right", "first", "low", "high", "context"]
-SCHEMA = "context_key bigint, left int, right int, first bigint, low bigint, high bigint, context binary"
 LAST = (1 << 63) - 1  # stands for a null id: after all others
 
 
@@ -246,41 +149,35 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     case and punctuation. Its words are ``start_word`` up to but without
     ``end_word``. ``later`` spans also occur in a document with a smaller id, and
     may be removed; the others hold the first occurrence (both kinds may overlap
-    in a document, each is merged by itself). The first occurrence is looked for
-    among the suffixes of a stretch of the sorted order; where a run of equal ones
-    goes on in another task, each part keeps its own first, so that more than one
-    copy may stay, but never none. A document is a pair of id and
+    in a document, each is merged by itself). The first occurrence is the least id
+    of all documents that hold the same ``min_words`` words, so one copy stays
+    however many there are. Stretches are known by 64-bit hashes. A document is a pair of id and
     text: identical rows are one document, repeats inside a document do not
     count, a null id comes after all others and documents of one id keep their
     passages. Null and empty texts have no spans. Only ``doc_id`` and ``text``
     are read.
     """
-    gram = min_words // 2
-    window = min_words - gram + 1
     send = docs.sparkSession.sparkContext.broadcast
     docs = present(docs, "doc_id").select("doc_id", row_key(), "text").select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "row_key", "text")
-    grams = docs.select("row_key", "text").mapInArrow(_grams(gram, window), "gram bigint, row_key bigint")
-    shared = grams.groupBy("gram").agg(F.min("row_key").alias("low"), F.max("row_key").alias("high")).where("low <> high")
-    mask = send(mask_of(shared, "gram", GRAM_BITS))
-    schema = "row_key bigint, doc_id bigint, at bigint, context binary"
-    found = docs.mapInArrow(_suffixes(gram, window, min_words, mask), schema)
-    contexts = found.groupBy("context").agg(F.min("row_key").alias("low"), F.max("row_key").alias("high"), F.min("doc_id").alias("first"))
-    contexts = contexts.select(F.xxhash64("context").alias("context_key"), "low", "high", "first", "context")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = contexts.repartitionByRange(parts, "context").sortWithinPartitions("context")
-    matches = checkpointed(ordered.mapInArrow(_matches(min_words, gram, True), SCHEMA), "matches")
-    edges = matches.where("context IS NOT NULL").select("context_key", "low", "high", "first", "context")  # a few rows per partition
-    across = edges.coalesce(1).sortWithinPartitions("context").mapInArrow(_matches(min_words, gram, False), SCHEMA)
-    best = matches.where("context IS NULL").unionAll(across).groupBy("context_key", "left", "right").agg(F.min("first").alias("other"))
-    places = found.select("row_key", "doc_id", "at", F.xxhash64("context").alias("context_key"))
-    spans = places.join(best, "context_key").select(
+    grams = docs.select("row_key", "text").mapInArrow(_grams(min_words), "gram bigint, row_key bigint, block bigint")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("row_key", "block") for n, f in (("low", F.min), ("high", F.max))]
+    common = grams.groupBy("gram").agg(*ends).where("low_row_key <> high_row_key")
+    common = checkpointed(common.select("gram", F.expr("low_block <> high_block").alias("several")), "grams")
+    shared = send(mask_of(common, "gram", GRAM_BITS))
+    mixed = send(mask_of(common.where("several"), "gram", GRAM_BITS))
+    schema = "key bigint, row_key bigint, doc_id bigint, at int, stretches int"
+    found = docs.mapInArrow(_candidates(min_words, shared, mixed), schema)
+    holders = found.groupBy("key").agg(F.min("row_key").alias("low"), F.max("row_key").alias("high"), F.min("doc_id").alias("first"))
+    repeats = checkpointed(holders.where("low <> high").select("key", "first"), "repeats")
+    places = docs.mapInArrow(_candidates(min_words, shared, mixed, send(mask_of(repeats, "key", GRAM_BITS))), schema)
+    spans = places.join(repeats, "key").select(
         "row_key",
         "doc_id",
-        (F.col("at") - F.col("left")).alias("start_word"),
-        (F.col("at") + F.col("right")).alias("end_word"),
-        (F.col("other") < F.col("doc_id")).alias("later"),
+        F.col("at").alias("start_word"),
+        (F.col("at") + F.col("stretches") + F.lit(min_words - 1)).alias("end_word"),
+        (F.col("first") < F.col("doc_id")).alias("later"),
     )
-    return merged_spans(spans.distinct()).withColumn("doc_id", F.expr(f"nullif(doc_id, {LAST})"))
+    return merged_spans(spans).withColumn("doc_id", F.expr(f"nullif(doc_id, {LAST})"))
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:

@@ -146,6 +146,20 @@ def test_repeated_passages(spark, rng, least):
         assert all(found[1][d] <= want[1][d] for d in found[1])
 
 
+@pytest.mark.parametrize("tail", [30, 45])
+def test_passages_that_end_in_a_common_sentence(spark, rng, tail):
+    """Many documents hold the words in which a passage of two documents ends, or hold them several times."""
+    common, rows = words(rng, tail), []
+    for i in range(0, 160, 2):
+        passage = words(rng, 55 - tail) + common
+        rows += [(i + k, " ".join([*words(rng, 20), *passage, *words(rng, 20)])) for k in (0, 1)]
+    for i in range(200, 600):
+        rows.append((i, " ".join([*words(rng, 30), *common, *words(rng, 5), *(common if i % 3 else []), *words(rng, 30)])))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    found, want = found_words(suffixes.repeated_spans(docs_of(spark, rows))), covered(rows, 50)
+    assert found[0] == want[0] and found[1] == want[1]
+
+
 def test_cut_text_keeps_the_rest(spark, rng):
     passage, a, b = words(rng, 60), words(rng, 30), words(rng, 30)
     text = lambda *parts: "\n".join(" ".join(p) for p in parts)
