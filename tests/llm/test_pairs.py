@@ -160,6 +160,17 @@ def test_passages_that_end_in_a_common_sentence(spark, rng, tail):
     assert found[0] == want[0] and found[1] == want[1]
 
 
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_one_copy_of_a_passage_stays(spark, rng, parts):
+    """A third of the rows hold a passage whose surroundings all differ, so that its run goes over all partitions."""
+    passage = words(rng, 60)
+    rows = [(i, " ".join([*words(rng, 30), *(passage if i % 3 == 1 else []), *words(rng, 30)])) for i in range(900)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    found, want = found_words(suffixes.repeated_spans(docs_of(spark, rows))), covered(rows, 50)
+    assert found[0] == want[0] and found[1] == want[1]
+    assert len(found[0]) == 300 and set(found[0]) - set(found[1]) == {1}
+
+
 def test_cut_text_keeps_the_rest(spark, rng):
     passage, a, b = words(rng, 60), words(rng, 30), words(rng, 30)
     text = lambda *parts: "\n".join(" ".join(p) for p in parts)
