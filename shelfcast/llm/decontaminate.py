@@ -1,12 +1,12 @@
 """Benchmark passages in documents, found under edits.
 
-The CGK embedding walks through a sequence of words and emits a word per step,
-moving on or staying by a random bit that depends on the step and the word. Two
-sequences a few edits apart fall back into step, so their embeddings differ in
-few places. Each window of a document (one per word, as long as the item it is
-held against) is embedded by some walks; sampled places of the embedding are
-the keys of locality sensitive hashing. A key that an item has, too, leads to a
-comparison by exact edit distance in words.
+An item with ``k`` allowed edits is cut into ``k + 1`` pieces. An edit changes one
+piece at most, so a stretch within ``k`` edits holds one of them as it is,
+wherever the edits stand. Pieces are put together in groups of two or three; in
+some group of ``c`` pieces there are less than ``c`` edits, hence a piece that
+was found counts only if all but ``c - 1`` of its group's words stand around it.
+What remains is compared by exact edit distance in words. Nothing that matches is
+left out.
 
 Words are runs of letters and digits (any byte from 128 on counts as a letter)
 with A-Z lowered. An item matches where the edit distance between its words and
@@ -25,97 +25,110 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.suffixes import rolling
 from shelfcast.llm.texts import U64, present, row_groups, row_key, slices, split_words, string_buffer
 
-BLOCK = 1 << 16
 TABLE_BITS = 18
-STEP = U64(0x9FB21C651E98DF25)
+AT_ONCE = 1 << 14  # places whose surroundings are compared in one go
 
 
 @dataclass(frozen=True)
 class Sampling:
-    """Walks of ``steps`` steps with ``tables`` keys each of ``places`` sampled places.
+    """Which words of an item are looked up: at most ``key`` of a piece, then at most ``around`` of its group.
 
-    With the defaults, items with a tenth of their words edited are found with a
-    probability of about 0.98 and unedited ones always; the tests measure it.
+    Both only bound the work; items are found whatever they are.
     """
 
-    walks: int = 2
-    steps: int = 32
-    tables: int = 10
-    places: int = 5
-    seed: int = 7
-    samples: list = field(init=False, repr=False, compare=False)
-
-    def __post_init__(self):
-        rng = np.random.default_rng(self.seed)
-        draw = lambda low, high: sorted(int(x) for x in rng.choice(np.arange(low, high), self.places, replace=False))
-        # Half the keys sample the first steps only, for short items and edits further on.
-        spans = [self.steps if t % 2 else self.steps // 2 for t in range(self.tables)]
-        object.__setattr__(self, "samples", [[draw(0, s) for s in spans] for _ in range(self.walks)])
-
-
-def embed(hashes: np.ndarray, count: int, sampling: Sampling, reach: np.ndarray | None = None) -> np.ndarray:
-    """The keys of the windows that start at the first ``count`` words, ``(walks * tables, count)``.
-
-    ``hashes`` goes on for ``steps`` more words. ``reach``, if given, is filled with the
-    last place each key looks at, counted from the window's start.
-    """
-    keys = np.zeros((sampling.walks * sampling.tables, count), U64)
-    for walk, samples in enumerate(sampling.samples):
-        place = np.arange(count)
-        uses = [[walk * sampling.tables + t for t, s in enumerate(samples) if step in s] for step in range(sampling.steps)]
-        last = max(step for step, used in enumerate(uses) if used)
-        for step in range(last + 1):
-            word = hashes.take(place)
-            for t in uses[step]:
-                keys[t] *= STEP
-                keys[t] += word
-                if reach is not None:
-                    reach[t] = place - np.arange(count)
-            word >>= U64((step + walk * sampling.steps) % 64)
-            word &= U64(1)
-            place += word.view(np.int64)
-    keys *= STEP
-    return keys
+    key: int = 8
+    around: int = 24
 
 
 @dataclass
 class Items:
-    """Items with their words and, per key table, which items have a key."""
+    """Items with their words and, per key length, the pieces that have a key."""
 
     ids: list
     words: list
     sampling: Sampling
     max_edits: float
-    keys: list = field(init=False)
-    maybe: np.ndarray = field(init=False)
+    keys: dict = field(init=False)
+    item: np.ndarray = field(init=False)
+    offset: np.ndarray = field(init=False)
+    group: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        total = self.sampling.walks * self.sampling.tables
-        self.keys = [{} for _ in range(total)]
-        self.maybe = np.zeros((total, 1 << TABLE_BITS), bool)
+        if not 0 <= self.max_edits < 1:
+            raise ValueError("max_edits must be at least 0 and less than 1")
+        pieces, groups, by_length = [], [], {}
         for i, words in enumerate(self.words):
-            if not len(words):
+            n = len(words)
+            if not n:
                 continue
-            padded = np.concatenate([words, np.zeros(self.sampling.steps + 1, U64)])
-            reach = np.zeros((total, 1), np.int64)
-            own = embed(padded, 1, self.sampling, reach)[:, 0]
-            for t in np.flatnonzero(reach[:, 0] < len(words)):
-                self.keys[t].setdefault(int(own[t]), []).append(i)
-                self.maybe[t, int(own[t]) >> (64 - TABLE_BITS)] = True
+            count = self.edits(i) + 1
+            cuts = [n * c // count for c in range(count + 1)]
+            firsts = list(range(0, max(count - 1, 1), 2))  # the last group has three if the number is odd
+            for first, last in zip(firsts, [*firsts[1:], count]):
+                for c in range(first, last):
+                    size = min(cuts[c + 1] - cuts[c], self.sampling.key)
+                    by_length.setdefault(size, []).append((len(pieces), words[cuts[c] : cuts[c] + size]))
+                    pieces.append((i, cuts[c], len(groups)))
+                groups.append((cuts[first], words[cuts[first] : cuts[last]][: self.sampling.around], last - first - 1))
+        self.item, self.offset, self.group = (np.array([p[k] for p in pieces], np.int64) for k in range(3))
+        self.group_at = np.array([g[0] for g in groups], np.int64)
+        self.group_size = np.array([len(g[1]) for g in groups], np.int64)
+        self.group_edits = np.array([g[2] for g in groups], np.int64)
+        self.group_words = np.zeros((len(groups), self.group_size.max(initial=0)), U64)
+        for g, (_, words, _) in enumerate(groups):
+            self.group_words[g, : len(words)] = words
+        self.keys = {}
+        for size, found in by_length.items():
+            own = rolling(np.concatenate([w for _, w in found]), size)[::size]
+            order = np.argsort(own, kind="stable")
+            known, first = np.unique(own[order], return_index=True)
+            maybe = np.zeros(1 << TABLE_BITS, bool)
+            maybe[known >> U64(64 - TABLE_BITS)] = True
+            self.keys[size] = (known, np.append(first, len(own)), np.array([p for p, _ in found], np.int64)[order], maybe)
+
+    def hits(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Row, start word in the row and item of each place that may match; row r owns ``hashes[first[r]:first[r + 1]]``.
+
+        The start is where the item would begin if nothing before the piece was inserted or deleted.
+        """
+        out = [np.zeros((0, 3), np.int64)]
+        for size, (known, bounds, pieces, maybe) in self.keys.items():
+            own = rolling(hashes, size)
+            at = np.flatnonzero(maybe.take(own >> U64(64 - TABLE_BITS)))
+            key = np.searchsorted(known, own[at])
+            real = known[np.minimum(key, len(known) - 1)] == own[at]
+            row = np.searchsorted(first, at, "right") - 1
+            real &= at + size <= first[row + 1]
+            at, key, row = at[real], key[real], row[real]
+            ends = np.cumsum(bounds[key + 1] - bounds[key])
+            total = int(ends[-1]) if len(ends) else 0
+            for low in range(0, total, AT_ONCE):
+                n = np.arange(low, min(low + AT_ONCE, total))
+                hit = np.searchsorted(ends, n, "right")
+                piece = pieces[bounds[key[hit] + 1] - (ends[hit] - n)]
+                begin = at[hit] - self.offset[piece]
+                fine = self._grouped(hashes, first[row[hit]], first[row[hit] + 1], begin, self.group[piece])
+                out.append(np.stack([row[hit], begin - first[row[hit]], self.item[piece]], 1)[fine])
+        return np.unique(np.concatenate(out), axis=0)
+
+    def _grouped(self, hashes, low, high, begin, group) -> np.ndarray:
+        """Whether enough words of the piece's group stand where they may."""
+        size, edits, words = self.group_size[group], self.group_edits[group], self.group_words[group]
+        seen = np.zeros(words.shape, bool)
+        start = begin + self.group_at[group] - edits
+        for step in range(int((size + 2 * edits).max(initial=0))):
+            place = start + step
+            inside = (place >= low) & (place < high) & (step < size + 2 * edits)
+            word = hashes.take(np.where(inside, place, 0))
+            seen |= (words == word[:, None]) & inside[:, None]
+        return (seen & (np.arange(words.shape[1]) < size[:, None])).sum(1) >= size - edits
 
     def candidates(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """(start word, item) for each window that shares a key with an item."""
-        found = set()
-        padded = np.concatenate([hashes, np.zeros(self.sampling.steps + 1, U64)])
-        for at in range(0, len(hashes), BLOCK):
-            count = min(BLOCK, len(hashes) - at)
-            keys = embed(padded[at : at + count + self.sampling.steps + 1], count, self.sampling)
-            for t, known in enumerate(self.keys):
-                for w in np.flatnonzero(self.maybe[t].take(keys[t] >> U64(64 - TABLE_BITS))).tolist():
-                    found.update((at + w, i) for i in known.get(int(keys[t, w]), ()))
-        return found
+        """(start word, item) of each place of one text that may match."""
+        return {(at, i) for _, at, i in self.hits(hashes, np.array([0, len(hashes)])).tolist()}
 
     def edits(self, item: int) -> int:
         return int(self.max_edits * len(self.words[item]))
@@ -145,27 +158,35 @@ def edit_distance_within(item: list, words: list, most: int) -> tuple[int, int,
 
 
 def matches(hashes: np.ndarray, candidates: list[tuple[int, int]], items: Items) -> dict[int, tuple[int, int, int]]:
-    """Per item its best stretch ``(distance, start, end)`` among the candidates of one document."""
-    best: dict[int, tuple[int, int, int]] = {}
+    """Per item its best stretch ``(distance, start, end)`` among the candidates of one document.
+
+    Candidates of an item that stand as near as its edits are compared together.
+    """
+    starts: dict[int, list[int]] = {}
     for at, i in sorted(candidates):
+        starts.setdefault(i, []).append(at)
+    best: dict[int, tuple[int, int, int]] = {}
+    for i, places in starts.items():
         item, most = items.words[i], items.edits(i)
         n = len(item)
-        if i in best and best[i][0] == 0:
+        same = next((at for at in places if at >= 0 and np.array_equal(hashes[at : at + n], item)), None)
+        if same is not None:
+            best[i] = (0, same, same + n)
             continue
-        if np.array_equal(hashes[at : at + n], item):
-            found = (0, at, at + n)
-        else:
-            low = max(0, at - most)
-            around = hashes[low : at + n + most].tolist()
-            own = item.tolist()
-            if len(set(own) - set(around)) > most:  # each missing word costs an edit at least
+        own = item.tolist()
+        distinct = set(own)
+        cuts = [0, *(k for k in range(1, len(places)) if places[k] - places[k - 1] > most), len(places)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            low = max(0, places[a] - most)
+            around = hashes[low : places[b - 1] + n + most].tolist()
+            if len(distinct - set(around)) > most:  # each missing word costs an edit at least
                 continue
             near = edit_distance_within(own, around, most)
             if near is None:
                 continue
             found = (near[0], low + near[1], low + near[2])
-        if i not in best or found < best[i]:
-            best[i] = found
+            if i not in best or found < best[i]:
+                best[i] = found
     return best
 
 
@@ -179,9 +200,8 @@ def _search(items_value):
                 own = bounds[low : high + 1] - bounds[low]
                 words = split_words(raw[bounds[low] : bounds[high]], own, fold=True, symbols="out")
                 by_row: dict[int, list] = {}
-                for at, i in items.candidates(words.hash):
-                    r = int(np.searchsorted(words.first, at, "right")) - 1
-                    by_row.setdefault(r, []).append((at - int(words.first[r]), i))
+                for r, at, i in items.hits(words.hash, words.first).tolist():
+                    by_row.setdefault(r, []).append((at, i))
                 for r, found in by_row.items():
                     hashes = words.hash[words.first[r] : words.first[r + 1]]
                     rows += [(low + r, items.ids[i], *m) for i, m in matches(hashes, found, items).items()]

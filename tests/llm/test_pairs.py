@@ -251,6 +251,28 @@ def test_sampling_recall():
     assert found >= 0.9 * len(items)
 
 
+@pytest.mark.parametrize("where", ["head", "middle", "end", "cut", "spread"])
+def test_items_with_a_fifth_of_their_words_edited(where):
+    """All are found, wherever the edits stand and however long the item is."""
+    rng = random.Random(6)
+
+    def hashed(w):
+        raw, bounds = string_buffer(pa.array([" ".join(w)]))
+        return split_words(raw, bounds, fold=True, symbols="out").hash
+
+    items = [words(rng, n) for n in (16, 25, 38, 59, 120) for _ in range(30)]
+    known = decontaminate.Items(list(range(len(items))), [hashed(w) for w in items], decontaminate.Sampling(), 0.2)
+    for i, w in enumerate(items):
+        n, k = len(w), len(w) // 5
+        low = {"head": 0, "middle": (n - 2 * k) // 2, "end": n - 2 * k}.get(where, 0)
+        text = list(w)
+        for at in range(0, 5 * k, 5) if where == "spread" else rng.sample(range(low, low + 2 * k), k):
+            text[at] = "x" + text[at]
+        text = words(rng, 20) + (w[k:] if where == "cut" else text) + words(rng, 20)
+        found = decontaminate.matches(hashed(text), known.candidates(hashed(text)), known)
+        assert found[i][0] == distance(w, text) <= k
+
+
 def test_contaminated_hard_rows(spark, hard_docs, no_docs):
     bench = spark.createDataFrame([(1, "the same row twice, id and text"), (1, None)], "item_id long, text string")
     got = decontaminate.contaminated(hard_docs, bench).collect()
