@@ -273,6 +273,17 @@ def test_items_with_a_fifth_of_their_words_edited(where):
         assert found[i][0] == distance(w, text) <= k
 
 
+def test_short_items_are_found(spark, rng):
+    """Items of one to six words stand verbatim in a document, also as the whole of it."""
+    items = [words(rng, n) for n in range(1, 7) for _ in range(20)]
+    rows = []
+    for i, w in enumerate(items):
+        rows += [(2 * i, " ".join(["0", *w, "0"])), (2 * i + 1, " ".join(w))]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_of(spark, rows), bench).collect() if r.distance == 0}
+    assert {(2 * i + k, i) for i in range(len(items)) for k in (0, 1)} <= got
+
+
 def test_contaminated_hard_rows(spark, hard_docs, no_docs):
     bench = spark.createDataFrame([(1, "the same row twice, id and text"), (1, None)], "item_id long, text string")
     got = decontaminate.contaminated(hard_docs, bench).collect()
