@@ -50,6 +50,8 @@ PRODUCTS = {
     "supplier": f"SELECT s_suppkey AS product_code, {_product_barcode('s_suppkey')} AS barcode FROM supplier",
     "part": f"SELECT p_partkey AS product_code, {_part_barcode('p_partkey')} AS barcode FROM part",
 }
+CODES["assortment"] = BRAND
+PRODUCTS["assortment"] = f"{PRODUCTS['brand']} UNION ALL SELECT -s_suppkey, '2' || lpad(CAST(s_suppkey AS VARCHAR), 12, '0') FROM supplier"
 
 
 def _store(product: str = "brand") -> str:
@@ -334,6 +336,7 @@ top AS (
             ["date"],
             ctes=_base("supplier", "dense", "1996-01-01", "1996-12-31", "on_promotion = 1 AND returned_quantity > 40"),
         ),
+        "calendar_assortment": _tidy("SELECT * FROM dense", AMOUNTS, ["date"], ctes=_base("assortment", "dense")),
         "holiday_flags": _tidy(
             f"SELECT barcode, date, quantity, {flag}, {eve} FROM dense", ["quantity"], ["date"], ctes=_base(upto="dense")
         ),
@@ -397,6 +400,12 @@ FROM (SELECT barcode, count(*) AS days FROM dense GROUP BY barcode) d
 LEFT JOIN (SELECT barcode, count(*) AS n FROM features GROUP BY barcode) f ON d.barcode = f.barcode""",
             ctes=_base("supplier", "features", "1996-01-01", "1996-12-31", "on_promotion = 1 AND returned_quantity > 40"),
         ),
+        "rows_per_series_assortment": _tidy(
+            """SELECT d.barcode, d.days, coalesce(f.n, 0) AS complete_rows
+FROM (SELECT barcode, count(*) AS days FROM dense GROUP BY barcode) d
+LEFT JOIN (SELECT barcode, count(*) AS n FROM features GROUP BY barcode) f ON d.barcode = f.barcode""",
+            ctes=_base("assortment"),
+        ),
         "train_forecast_split": _tidy(
             f"""SELECT barcode, date, quantity, CASE WHEN date < DATE '{SPLIT}' THEN 'train' ELSE 'forecast' END AS part
 FROM features WHERE date < DATE '{SPLIT}' OR year(date) = {YEAR}""",
@@ -521,6 +530,15 @@ FULL OUTER JOIN (SELECT * FROM predictions WHERE model = 'mean7' AND month(date)
             ["date"],
             ctes=_base() + "," + PREDICTIONS,
         ),
+        "compare_merge_coverage": _tidy(
+            """SELECT coalesce(a.barcode, b.barcode) AS barcode, coalesce(a.date, b.date) AS date,
+  coalesce(a.quantity, b.quantity) AS real, a.lag_1 AS naive, b.rolling_mean_7 AS mean7
+FROM (SELECT * FROM rated WHERE lag_1 IS NOT NULL) a
+FULL OUTER JOIN features b ON a.barcode = b.barcode AND a.date = b.date""",
+            ["real", "naive", "mean7"],
+            ["date"],
+            ctes=_base(),
+        ),
         "daily_errors": _tidy(
             f"""SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
   {_daily_error_columns('naive')}, {_daily_error_columns('mean7')} FROM wide""",

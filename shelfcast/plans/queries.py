@@ -124,6 +124,12 @@ def calendar_unsold(spark, sf_dir):
     return demand.dense(_promoted(spark, sf_dir), "1996-01-01", "1996-12-31")
 
 
+@query("calendar_assortment")
+def calendar_assortment(spark, sf_dir):
+    """All lines and the whole period; codes of the assortment that never sold have zeros on every day."""
+    return demand.dense(store(spark, sf_dir, "assortment"))
+
+
 @query("holiday_flags")
 def holiday_flags(spark, sf_dir):
     series = demand.dense(store(spark, sf_dir)).select("barcode", "date", "quantity")
@@ -206,6 +212,13 @@ def rows_per_series(spark, sf_dir):
     return features.rows_per_series(rows)
 
 
+@query("rows_per_series_assortment")
+def rows_per_series_assortment(spark, sf_dir):
+    """Days and usable rows of the whole assortment; codes that never sold have no usable row."""
+    rows = demand.model_inputs(store(spark, sf_dir, "assortment"), drop_incomplete=False)
+    return features.rows_per_series(rows)
+
+
 @query("train_forecast_split")
 def train_forecast_split(spark, sf_dir):
     before, year = folds.split_by_date(inputs(spark, sf_dir).select("barcode", "date", "quantity"), SPLIT, YEAR)
@@ -307,6 +320,16 @@ def compare_merge(spark, sf_dir):
     return compare.merge_models(p.where(covered), MODELS)
 
 
+@query("compare_merge_coverage")
+def compare_merge_coverage(spark, sf_dir):
+    """All days of a model that needs the day before only, against the complete rows of one that needs all inputs."""
+    rows = demand.model_inputs(store(spark, sf_dir), drop_incomplete=False)
+    columns = ["barcode", "date", F.col("quantity").alias("real")]
+    naive = rows.where("lag_1 IS NOT NULL").select(F.lit("naive").alias("model"), *columns, F.col("lag_1").alias("forecast"))
+    mean7 = features.complete_rows(rows).select(F.lit("mean7").alias("model"), *columns, F.col("rolling_mean_7").alias("forecast"))
+    return compare.merge_models(naive.unionByName(mean7), MODELS)
+
+
 @query("daily_errors")
 def daily_errors(spark, sf_dir):
     return compare.compared_errors(compare.merge_models(predicted(spark, sf_dir), MODELS), MODELS)

@@ -61,7 +61,10 @@ def brand_code(brand: Column) -> Column:
 
 
 def open_store(spark: SparkSession, folder: str, product: str = "brand") -> Store:
-    """The tables with ``product`` = ``brand``, ``supplier`` or ``part``."""
+    """The tables with ``product`` = ``brand``, ``supplier``, ``part`` or ``assortment``.
+
+    The assortment has all brands, and the suppliers under codes of their own, which no line bears.
+    """
     part = table(spark, folder, "part")
     # Barcode and brand are worked out once per part, not once per line.
     parts = part.select(
@@ -71,7 +74,7 @@ def open_store(spark: SparkSession, folder: str, product: str = "brand") -> Stor
         brand_code(F.col("p_brand")).alias("brand_code"),
     )
     items = table(spark, folder, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    code = {"brand": "brand_code", "supplier": "l_suppkey", "part": "l_partkey"}[product]
+    code = {"brand": "brand_code", "assortment": "brand_code", "supplier": "l_suppkey", "part": "l_partkey"}[product]
     lines = items.select(
         F.col("l_orderkey").alias("sale_id"),
         F.col(code).alias("product_code"),
@@ -92,10 +95,16 @@ def open_store(spark: SparkSession, folder: str, product: str = "brand") -> Stor
     else:
         codes = (
             part.select(brand_code(F.col("p_brand")).alias("product_code")).distinct()
-            if product == "brand"
+            if product in ("brand", "assortment")
             else table(spark, folder, "supplier").select(F.col("s_suppkey").alias("product_code"))
         )
         products = codes.withColumn("barcode", product_barcode(F.col("product_code")))
+        if product == "assortment":
+            key = F.col("s_suppkey")
+            unsold = table(spark, folder, "supplier").select(
+                (-key).alias("product_code"), F.concat(F.lit("2"), F.lpad(key.cast("string"), 12, "0")).alias("barcode")
+            )
+            products = products.unionByName(unsold)
     return Store(sales, lines, products)
 
 
