@@ -33,6 +33,7 @@ class Settings:
     """``sizes``: words in a window, at two scales.
 
     ``most_labelled`` bounds the labelled rows that training reads, ``fit_share`` of which calibrate the score.
+    ``most_windows`` bounds the windows, drawn at random, that the ordinary dictionary is trained on.
 
     A ``gram`` of characters is toxic if at least ``least_docs`` toxic texts hold it
     and its shares among toxic and ordinary texts differ by ``least_z`` deviations.
@@ -47,6 +48,7 @@ class Settings:
     least_z: float = 6.0
     fit_share: float = 0.34
     most_labelled: int = 12_000
+    most_windows: int = 60_000
 
 
 def windows(words: list[str], size: int) -> list[bytes]:
@@ -179,7 +181,7 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         odds = np.log((share + 1e-6) / (1 - share + 1e-6))
         return Model(b"", b"", *blank, np.append(np.zeros(n), odds), s)
     parts = [w for t in ordinary for w in windows(LETTERS.findall(t.lower()), 12)]
-    some = np.random.default_rng(5).permutation(len(parts))[:60_000]
+    some = np.random.default_rng(5).permutation(len(parts))[: s.most_windows]
     base = train_dictionary([parts[i] for i in some], s.ordinary_bytes)
     stretches = toxic_stretches(toxic, ordinary, s)
     # The trainer leaves rare samples out; they follow, where matches are cheapest.

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from shelfcast.llm import linear, toxicity
@@ -84,3 +85,12 @@ def test_queries_are_whole_tables(spark):
     for name in ("op3_extendible_sharding", "op7_token_counts", "op8_quality_rules", "op9_ngram_jaccard_join", "op10_quality_classifier"):
         assert REGISTRY[name](spark, folder).count() == docs, name
     assert REGISTRY["op4_html_extraction"](spark, folder).count() == pages
+
+
+def test_most_windows_bounds_the_ordinary_dictionary(rng):
+    """The windows that the ordinary dictionary learns from are bounded by the setting alone."""
+    rows, labels = sample(rng, 600)
+    texts, toxic = [t for _, t in rows], np.array([x[2] for x in labels])
+    every, few = (toxicity.train(texts, toxic, toxicity.Settings(most_windows=n)) for n in (10**6, 300))
+    assert every.ordinary == toxicity.train(texts, toxic, toxicity.Settings()).ordinary != few.ordinary
+    assert every.toxic == few.toxic
