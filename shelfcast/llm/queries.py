@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries, with production parameters on whole tables."""
+"""The thirteen operators and the pipeline as registered queries, with production parameters on whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard, linear, linefreq, packing, pagetree, sharding, suffixes, tokencount, toxicity
+from shelfcast.llm import (
+    bytepairs,
+    decontaminate,
+    hardneg,
+    infill,
+    jaccard,
+    linear,
+    linefreq,
+    packing,
+    pagetree,
+    sharding,
+    suffixes,
+    tokencount,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +82,21 @@ def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), percent=85, size=4)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector; every seventh row's label is moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+def op12_byte_bpe(spark, sf_dir):
+    return bytepairs.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -79,8 +108,13 @@ REGISTRY: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE: dict[str, str] = {
     "op3_extendible_sharding": sharding.ORACLE,
     "op8_quality_rules": linefreq.ORACLE,
+    "op11_hard_negatives": hardneg.ORACLE,
+    "op13_fill_in_middle": infill.ORACLE,
 }

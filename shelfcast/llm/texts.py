@@ -176,6 +176,18 @@ def present(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def map_keeping(df: DataFrame, keep: list[str], inputs: list[Column], run, made: str) -> DataFrame:
+    """The columns ``keep``, whatever their names, and those of the schema ``made``, out of ``run(names)`` over Arrow batches.
+
+    The function gets the kept columns by their names in the batches, and ``inputs`` beside them.
+    """
+    names = [f"kept_{i}" for i in range(len(keep))]
+    own = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], *inputs)
+    kinds = [f"{n} {own.schema[n].dataType.simpleString()}" for n in names]
+    out = own.mapInArrow(run(names), ", ".join([*kinds, made]))
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *out.columns[len(names) :])
+
+
 def row_key() -> Column:
     """A key of a row's id and text; identical rows share it."""
     return F.xxhash64("doc_id", "text").alias("row_key")
