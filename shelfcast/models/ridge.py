@@ -57,14 +57,49 @@ def solve(gram: np.ndarray, moment: np.ndarray, penalty: float) -> np.ndarray:
 def fit(x: np.ndarray, y: np.ndarray, penalties: Sequence[float] = PENALTIES) -> tuple[np.ndarray, float]:
     """Coefficients from the first 80 percent of the rows, penalty by MAE on the rest."""
     cut = int(len(x) * TRAIN_SHARE)
-    gram, moment = x[:cut].T @ x[:cut], x[:cut].T @ y[:cut]
-    best = None
-    for penalty in penalties:
-        beta = solve(gram, moment, penalty)
-        loss = np.abs(x[cut:] @ beta - y[cut:]).mean() if cut < len(x) else 0.0
-        if best is None or loss < best[0]:
-            best = (loss, beta, penalty)
-    return best[1], best[2]
+    return best_of(x[:cut].T @ x[:cut], x[:cut].T @ y[:cut], x[cut:], y[cut:], penalties)
+
+
+def best_of(
+    gram: np.ndarray, moment: np.ndarray, x: np.ndarray, y: np.ndarray, penalties: Sequence[float]
+) -> tuple[np.ndarray, float]:
+    """Coefficients of the penalty with the lowest MAE on ``x, y``; the first of equal ones."""
+    ridges = np.zeros((len(penalties), *gram.shape))
+    ridges[:, range(len(gram)), range(len(gram))] = np.array(penalties, float)[:, None]
+    ridges[:, -1, -1] = 1e-9
+    betas = np.linalg.solve(gram + ridges, np.broadcast_to(moment[:, None], (len(penalties), len(gram), 1)))[:, :, 0]
+    best = int(np.abs(betas @ x.T - y).mean(axis=1).argmin()) if len(x) else 0
+    return betas[best], penalties[best]
+
+
+def window_sums(x: np.ndarray, y: np.ndarray, starts: Sequence[int], size: int):
+    """``X'X, X'y`` of the rows ``start .. start + size`` of each start, in order.
+
+    Rows are multiplied once per block between two window borders. The sums go from
+    one window to the next by the blocks that enter and leave. They are added up
+    afresh whenever as many blocks have passed as a window has, so that rounding
+    does not pile up.
+    """
+    if not len(starts):
+        return
+    both = np.hstack([x, y[:, None]])
+    edges = np.unique(np.concatenate([starts, np.asarray(starts) + size]))
+    place = {int(e): i for i, e in enumerate(edges)}
+    blocks: dict[int, np.ndarray] = {}
+    low = high = fresh = 0
+    total = np.zeros((both.shape[1],) * 2)
+    for start in starts:
+        first, last = place[int(start)], place[int(start) + size]
+        for i in range(max(high, first), last):
+            blocks[i] = both[edges[i] : edges[i + 1]].T @ both[edges[i] : edges[i + 1]]
+            total = total + blocks[i]
+        for i in range(low, first):
+            total = total - blocks.pop(i) if i in blocks else total
+        low, high = first, max(high, last)
+        if first >= fresh:
+            total = sum((blocks[i] for i in range(first, last)), np.zeros_like(total))
+            fresh = last
+        yield total[:-1, :-1], total[:-1, -1]
 
 
 def steps_before(x: np.ndarray, steps: int) -> np.ndarray:
@@ -80,26 +115,26 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip, penalt
     scaled = scaled_inputs(inputs, split, columns, series).where(F.col("date") < F.lit(split).cast("date"))
 
     # Plain numbers, so that the task carries no class of this package.
-    train, length, step = fold.train, fold.length, fold.step
+    train, length, step, lead = fold.train, fold.length, fold.step, sequence_steps
+    cut = int((train - lead) * TRAIN_SHARE)
 
     def windows(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         x, y = pdf[columns].to_numpy(float), pdf["quantity"].to_numpy(float)
+        # Row i of z holds the inputs of target i + lead. A window's first targets go, so that no
+        # sequence reaches over the border between train and test part.
+        z, y = with_intercept(steps_before(x, lead) if lead else x), y[lead:]
         rows, ids, forecasts, chosen = [], [], [], []
-        for w, start in enumerate(range(0, len(x) - length + 1, step)):
-            middle, stop = start + train, start + length
-            xa, ya, xb, first = x[start:middle], y[start:middle], x[middle:stop], middle
-            if sequence_steps:
-                # Sequences never reach over the border between train and test part.
-                xa, ya = steps_before(xa, sequence_steps), ya[sequence_steps:]
-                xb, first = steps_before(xb, sequence_steps), middle + sequence_steps
-            if not len(xa) or not len(xb):
-                continue
-            beta, penalty = fit(with_intercept(xa), ya, penalties)
-            rows.append(np.arange(first, stop))
-            ids.append(np.full(len(xb), w))
-            forecasts.append(with_intercept(xb) @ beta)
-            chosen.append(np.full(len(xb), penalty))
+        count = (len(x) - length) // step + 1 if len(x) >= length and train > lead and length > train + lead else 0
+        starts = [step * w for w in range(count)]
+        for w, (gram, moment) in enumerate(window_sums(z, y, starts, cut)):
+            a, b, c = starts[w] + cut, starts[w] + train - lead, starts[w] + train
+            beta, penalty = best_of(gram, moment, z[a:b], y[a:b], penalties)
+            test = np.arange(c, starts[w] + length - lead)
+            rows.append(test + lead)
+            ids.append(np.full(len(test), w))
+            forecasts.append(z[test] @ beta)
+            chosen.append(np.full(len(test), penalty))
         index = np.concatenate(rows) if rows else np.empty(0, int)
         test = pdf[[series, "date", "quantity"]].iloc[index].reset_index(drop=True)
         return pd.DataFrame(
@@ -130,7 +165,8 @@ def backtest(
     """A model per product and window on the same day's inputs.
 
     A series is sent once and cut into its windows in the task, instead of being
-    copied once per window before the shuffle.
+    copied once per window before the shuffle. The windows' normal equations slide:
+    each row is multiplied once, not once for each of the many windows that hold it.
     """
     return _backtest(inputs, split, fold, columns, series, 0, clip, tuple(penalties))
 
