@@ -89,14 +89,29 @@ def chart_series(merged: DataFrame, models: Iterable[str], series: str = "barcod
     )
 
 
-def compare(predictions: DataFrame, models: Iterable[str], series: str = "barcode") -> dict[str, DataFrame]:
+def long_predictions(merged: DataFrame, models: Iterable[str], series: str = "barcode") -> DataFrame:
+    """A merged table back in one row per model and day; days that a model does not predict have none."""
+    models = list(models)
+    return (
+        merged.select(series, "date", "real", *models)
+        .unpivot([series, "date", "real"], models, "model", "forecast")
+        .where(F.col("forecast").isNotNull())
+    )
+
+
+def compare_merged(merged: DataFrame, models: Iterable[str], series: str = "barcode") -> dict[str, DataFrame]:
     """Everything that is kept of a comparison: scores, predictions, yearly sums, daily errors."""
     models = list(models)
-    merged = merge_models(predictions, models, series)
     return {
-        "metrics": pooled_metrics(predictions, [series, "model"]).select(series, "model", *MEASURES),
+        "metrics": pooled_metrics(long_predictions(merged, models, series), [series, "model"]).select(series, "model", *MEASURES),
         "predictions": merged,
         "annual": annual_summary(merged, models, series),
         "daily": compared_errors(merged, models),
         "charts": chart_series(merged, models, series),
     }
+
+
+def compare(predictions: DataFrame, models: Iterable[str], series: str = "barcode") -> dict[str, DataFrame]:
+    """``compare_merged`` of long predictions."""
+    models = list(models)
+    return compare_merged(merge_models(predictions, models, series), models, series)

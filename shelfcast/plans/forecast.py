@@ -47,8 +47,7 @@ class Plan:
 
 def run_boosted(inputs: DataFrame, plan: Plan, options: ModelOptions) -> DataFrame:
     path = f"{plan.saved_models}/boosted" if plan.saved_models and not options.reset else None
-    panel = boosted.panel_rows(inputs, plan.split, plan.year)
-    base = boosted.fit_or_load(inputs.sparkSession, panel, plan.split, path, plan.settings)
+    panel, base = boosted.fit_or_load(inputs.sparkSession, inputs, plan.split, plan.year, path, plan.settings)
     return boosted.walk_forward(panel, base, plan.year, plan.settings)[0]
 
 
@@ -81,7 +80,7 @@ def run(
         if out[name].isEmpty():
             raise RuntimeError(f"no saved predictions of {name} in {plan.predictions}")
     if plan.comparison and len(out) > 1:
-        tables.write_comparison(compare.compare(compare.stack_models(out), list(out)), plan.comparison)
+        tables.write_comparison(compare.stack_models(out), list(out), plan.comparison)
     return out
 
 

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.operators import calendar
+from shelfcast.operators import calendar, compare
 from shelfcast.operators.metrics import daily_errors
 from shelfcast.schemas import EXPORT_COLUMNS
 from shelfcast.session import materialise
+from shelfcast.sinks import versions
 
 # Tables replace only the partitions they bring; everything else at the path stays.
 REPLACE_PARTITIONS = {"partitionOverwriteMode": "dynamic"}
 
 
-def export_series(dense: DataFrame) -> DataFrame:
-    """The daily series under its published column names."""
-    return dense.select(*[F.col(new).alias(old) for new, old in EXPORT_COLUMNS.items()])
+def export_series(dense: DataFrame, more: Iterable[Column] = ()) -> DataFrame:
+    """The daily series under its published column names; ``more`` columns stand behind the first two."""
+    named = [F.col(new).alias(old) for new, old in EXPORT_COLUMNS.items()]
+    return dense.select(*named[:2], *more, *named[2:])
 
 
 def write_series(dense: DataFrame, path: str, market: str, fmt: str = "csv", per_product: bool = True) -> None:
@@ -28,7 +30,12 @@ def write_series(dense: DataFrame, path: str, market: str, fmt: str = "csv", per
     spread over the tasks by hash. With ``per_product=False`` a file holds many
     whole series, for stores with more products than a file system likes folders.
     """
-    out = export_series(dense).withColumns({"product": F.col("Barcode"), "market": F.lit(market)})
+    write_files(export_series(dense), path, market, fmt, per_product)
+
+
+def write_files(export: DataFrame, path: str, market: str, fmt: str = "csv", per_product: bool = True) -> None:
+    """An exported series as in ``write_series``."""
+    out = export.withColumns({"product": F.col("Barcode"), "market": F.lit(market)})
     (
         out.repartition("product")
         .sortWithinPartitions("product", "Date")
@@ -40,6 +47,31 @@ def write_series(dense: DataFrame, path: str, market: str, fmt: str = "csv", per
     )
 
 
+def name_product_files(spark: SparkSession, path: str, folder: str) -> None:
+    """Move the files below ``path`` that ``write_series`` made, one per product, to ``folder/produto_<barcode>.csv``.
+
+    Only names change, on the driver; one per product. A file of that name is not replaced.
+    """
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(make(folder))
+    for status in fs.globStatus(make(f"{path.rstrip('/')}/market=*/product=*/part-*.csv")):
+        product = status.getPath().getParent().getName().partition("=")[2]
+        if not fs.rename(status.getPath(), make(f"{folder.rstrip('/')}/produto_{product}.csv")):
+            raise FileExistsError(f"{folder}/produto_{product}.csv")
+
+
+def move_files(spark: SparkSession, path: str, folder: str, chosen: Callable[[str], bool]) -> None:
+    """Move the files of ``path`` whose name is ``chosen`` to ``folder``, as processed files are; only names change."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(make(folder))
+    for status in fs.listStatus(make(path)):
+        name = status.getPath().getName()
+        if not name.startswith(".") and chosen(name) and not fs.rename(status.getPath(), make(f"{folder.rstrip('/')}/{name}")):
+            raise FileExistsError(f"{folder}/{name}")
+
+
 def consolidated(dense: DataFrame) -> DataFrame:
     """All products in one table, ordered by day and product."""
     return dense.orderBy("date", "product_code", "barcode")
@@ -86,14 +118,25 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.withColumn("_file", F.pmod(F.xxhash64("barcode"), F.lit(files)))
 
 
-def write_comparison(results: Mapping[str, DataFrame], path: str) -> None:
-    """Scores, predictions, yearly sums and daily errors (by year and month)."""
-    for name in ("metrics", "predictions", "annual"):
-        results[name].write.mode("overwrite").parquet(f"{path}/{name}")
-    daily = results["daily"]
-    _by_month(_with_file(daily)).write.mode("overwrite").options(**REPLACE_PARTITIONS).partitionBy(
-        "year", "month"
-    ).parquet(f"{path}/daily")
+COMPARED = ("metrics", "predictions", "annual", "daily")
+
+
+def write_comparison(predictions: DataFrame, models: Iterable[str], path: str, series: str = "barcode") -> int:
+    """Scores, predictions side by side, yearly sums and daily errors as one version; returns its number.
+
+    All four are written whole, below a folder of their own, and become current
+    together; a run that fails changes nothing. The predictions are merged once: the
+    other tables are made of the written ones. Read them with ``versions.read_version``.
+    """
+    spark, models = predictions.sparkSession, list(models)
+    folder = versions.stage(path)
+    compare.merge_models(predictions, models, series).write.parquet(f"{folder}/predictions")
+    merged = spark.read.parquet(f"{folder}/predictions")
+    results = compare.compare_merged(merged, models, series)
+    for name in ("metrics", "annual"):
+        results[name].write.parquet(f"{folder}/{name}")
+    _by_month(_with_file(results["daily"])).write.partitionBy("year", "month").parquet(f"{folder}/daily")
+    return versions.publish(spark, path, folder)
 
 
 def write_report(lines: DataFrame, path: str) -> None:
