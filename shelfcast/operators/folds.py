@@ -107,6 +107,42 @@ def window_bounds(df: DataFrame, fold: Fold = Fold(), series: str = "barcode") -
     )
 
 
+def split_bounds(df: DataFrame, fold: Fold = Fold(), share: float = 0.8, series: str = "barcode") -> DataFrame:
+    """Where the train part of every window is cut into rows to fit on and rows to validate on, by date.
+
+    The first ``int(train * share)`` rows of a window are fitted on. The cut follows
+    from the window's first position, so bounds are looked up ahead and no row is copied.
+    """
+    order = Window.partitionBy(series).orderBy("date")
+    cut = int(fold.train * share)
+    ahead = {
+        "fit_end": F.lead("date", cut - 1).over(order) if cut else F.lit(None).cast("date"),
+        "validation_start": F.lead("date", cut).over(order),
+        "validation_end": F.lead("date", fold.train - 1).over(order),
+    }
+    rows = positions(df.select(series, "date"), series).withColumns(ahead)
+    starts = rows.where((F.col("position") % fold.step == 0) & (F.col("position") + fold.length <= F.col("n")))
+    return starts.select(
+        series,
+        F.floor(F.col("position") / fold.step).cast("int").alias("window_id"),
+        F.when(F.lit(cut > 0), F.col("date")).alias("fit_start"),
+        "fit_end",
+        F.when(F.lit(cut < fold.train), F.col("validation_start")).alias("validation_start"),
+        F.when(F.lit(cut < fold.train), F.col("validation_end")).alias("validation_end"),
+        F.lit(cut).alias("fit_rows"),
+        F.lit(fold.train - cut).alias("validation_rows"),
+    )
+
+
+def window_validation_rows(df: DataFrame, fold: Fold = Fold(), share: float = 0.8, series: str = "barcode") -> DataFrame:
+    """Validation rows of every window: about ``train * (1 - share) / step`` copies of a row."""
+    r, cut = F.col("position"), int(fold.train * share)
+    rows = _windows_of_rows(
+        positions(df, series), fold, F.ceil((r - fold.train + 1) / F.lit(fold.step)), F.floor((r - cut) / F.lit(fold.step))
+    )
+    return rows.drop("n")
+
+
 def validation_split(df: DataFrame, share: float = 0.8, series: str = "barcode") -> DataFrame:
     """``is_validation`` on the last rows of each series; the first ``int(n * share)`` train."""
     return (

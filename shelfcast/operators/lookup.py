@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions import rejects
 from shelfcast.functions.text import plausible_barcode
 from shelfcast.session import materialise
 
@@ -62,8 +63,19 @@ def sequential_codes(df: DataFrame, column: str = "product_code") -> DataFrame:
     )
 
 
+NO_CODE = "no code"
+
+
+def anonymised_parts(df: DataFrame, column: str = "product_code") -> tuple[DataFrame, DataFrame]:
+    """Rows with sequential codes in place of the real ones, and those that have no code, tagged; of one written table."""
+    tagged = materialise(rejects.tag(df, {NO_CODE: F.col(column).isNull()}), "codes")
+    codes = sequential_codes(rejects.kept(tagged), column)
+    named = rejects.kept(tagged).join(codes, column).drop(column).withColumnRenamed("anonymous_code", column)
+    return named, rejects.rejected(tagged)
+
+
 def anonymise_codes(df: DataFrame, column: str = "product_code") -> DataFrame:
-    """Replace real codes by sequential ones."""
+    """Replace real codes by sequential ones. Rows without a code are left out; ``anonymised_parts`` has them too."""
     return df.join(sequential_codes(df, column), column).drop(column).withColumnRenamed("anonymous_code", column)
 
 

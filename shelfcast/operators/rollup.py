@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import parse_day
-from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, exact, half_up, not_nan, units
+from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, exact_parts, half_up, not_nan, truncated, units
 from shelfcast.session import by_key
 
 
@@ -75,25 +75,34 @@ def _price_pairs(sold: DataFrame, keys: list[str]) -> DataFrame:
             *keys,
             *[F.coalesce(not_nan(F.col(c)), F.lit(0.0)).alias(c) for c in PRICES],
             F.when(F.col("on_promotion") == 1, 1).otherwise(0).alias("on_promotion"),
-            *[exact(F.col(c)).alias(c) for c in MOVEMENTS],
+            *[part.alias(name) for c in MOVEMENTS for part, name in zip(exact_parts(sold, c), _parts(c))],
         )
         .groupBy(*keys, *PRICES)
         .agg(
             F.max("on_promotion").alias("on_promotion"),
-            *[F.sum(c).alias(c) for c in MOVEMENTS],
+            *[F.sum(name).alias(name) for c in MOVEMENTS for name in _parts(c)],
             F.count(F.lit(1)).alias("n"),
         )
     )
 
 
+def _parts(c: str) -> tuple[str, str]:
+    """The columns that hold an amount's whole units and the rest."""
+    return f"{c}_whole", f"{c}_rest"
+
+
+def _summed(c: str) -> tuple[Column, Column]:
+    whole, rest = _parts(c)
+    return F.sum(whole), F.sum(rest)
+
+
 def _totals() -> list[Column]:
     def mean_of(c: str) -> Column:
-        return half_up(units(F.sum(c), SOURCE_SCALE) / (F.sum("n") * F.lit(float(SOURCE_SCALE))))
+        return half_up(units(*_summed(c), SOURCE_SCALE) / (F.sum("n") * F.lit(float(SOURCE_SCALE))))
 
     def whole(c: str) -> Column:
         """Total cut to whole units, towards zero as the source database does."""
-        total = F.sum(c)
-        return (F.floor(F.abs(total)).cast("double") * F.signum(total.cast("double"))) + F.lit(0.0)
+        return truncated(*_summed(c))
 
     return [
         F.max("on_promotion").alias("on_promotion"),
@@ -198,11 +207,15 @@ def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame
     the calendar and feature windows after this step need anyway.
     """
 
+    def total_units(c: str) -> Column:
+        whole, rest = exact_parts(daily, c)
+        return units(F.sum(whole), F.sum(rest), DAILY_SCALE)
+
     def total(c: str) -> Column:
-        return units(F.sum(exact(F.col(c))), DAILY_SCALE) / F.lit(float(DAILY_SCALE))
+        return total_units(c) / F.lit(float(DAILY_SCALE))
 
     def mean_of(c: str) -> Column:
-        return units(F.sum(exact(F.col(c))), DAILY_SCALE) / (F.count(F.lit(1)) * F.lit(float(DAILY_SCALE)))
+        return total_units(c) / (F.count(F.lit(1)) * F.lit(float(DAILY_SCALE)))
 
     merged = daily.groupBy(series, "date").agg(
         F.min("product_code").alias("product_code"),

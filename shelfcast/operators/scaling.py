@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import ratio
-from shelfcast.operators.folds import Fold, positions
+from shelfcast.operators.folds import Fold, positions, test_rows
 
 
 def unpivot(df: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
@@ -66,6 +66,91 @@ def scale(
     return df.withColumns(scaled)
 
 
+def window_sums(
+    long: DataFrame, moments: Mapping[str, tuple[Callable, Column]], fold: Fold, series: str = "barcode"
+) -> DataFrame:
+    """``moments`` (an aggregate and its input each) over the train part of every window.
+
+    ``long`` has ``position`` and ``n`` of a row in its series, and ``feature``. Rows are
+    aggregated once per block of ``step`` rows and a window adds up its blocks and the
+    head of the block after them, instead of copying each row into the many windows
+    that hold it. Aggregates are sums, minima and maxima.
+    """
+    blocks_per_window, head = divmod(fold.train, fold.step)
+    in_head = F.col("position") % fold.step < head
+    blocks = long.groupBy(series, "feature", "n", F.floor(F.col("position") / fold.step).cast("int").alias("window_id")).agg(
+        *[f(v).alias(k) for k, (f, v) in moments.items()],
+        *[f(F.when(in_head, v)).alias(f"{k}_head") for k, (f, v) in moments.items()],
+    )
+    order = Window.partitionBy(series, "feature").orderBy("window_id")
+
+    def over_window(name: str) -> Column:
+        f = moments[name][0]
+        tail = F.lead(f"{name}_head", blocks_per_window).over(order) if head else None
+        if not blocks_per_window:
+            return F.col(f"{name}_head")
+        body = f(name).over(order.rowsBetween(0, blocks_per_window - 1))
+        if tail is None:
+            return body
+        if f is F.sum:
+            return body + tail
+        return F.least(body, tail) if f is F.min else F.greatest(body, tail)
+
+    windows = blocks.select(series, "feature", "window_id", "n", *[over_window(k).alias(k) for k in moments])
+    return windows.where(F.col("window_id") * fold.step + fold.length <= F.col("n"))
+
+
+def scaler_by_window(
+    df: DataFrame, columns: Iterable[str], fold: Fold = Fold(), series: str = "barcode"
+) -> DataFrame:
+    """``series, window_id, feature, mean, std`` of the train part of every window: what was known when it ended.
+
+    Values are centred on the series mean first, which keeps the sums of squares
+    accurate. Nulls are skipped. A column that is constant in a window has deviation 1.
+    """
+    columns = list(columns)
+    whole = Window.partitionBy(series)
+    mean = {c: F.avg(F.col(c).cast("double")).over(whole) for c in columns}
+    placed = positions(df.select(series, "date", *columns), series)
+    pairs = [F.struct((F.col(c).cast("double") - mean[c]).alias("x"), mean[c].alias("centre")) for c in columns]
+    centred = placed.select(series, "position", "n", *[p.alias(c) for p, c in zip(pairs, columns)])
+    long = centred.unpivot([series, "position", "n"], columns, "feature", "_pair")
+    long = long.select(series, "position", "n", "feature", F.col("_pair.x").alias("_x"), F.col("_pair.centre").alias("_centre"))
+    x = F.col("_x")
+    moments = {
+        "rows": (F.sum, F.when(x.isNotNull(), 1).otherwise(0)),
+        "sx": (F.sum, x),
+        "sxx": (F.sum, x * x),
+        "lo": (F.min, x),
+        "hi": (F.max, x),
+        "centre": (F.max, F.col("_centre")),
+    }
+    sums = window_sums(long, moments, fold, series)
+    average = ratio(F.col("sx"), F.col("rows"))
+    variance = F.greatest(ratio(F.col("sxx"), F.col("rows")) - average * average, F.lit(0.0))
+    std = F.when(F.col("lo") == F.col("hi"), F.lit(1.0)).otherwise(_usable(F.sqrt(variance)))
+    return sums.select(series, "window_id", "feature", (average + F.col("centre")).alias("mean"), F.when(F.col("rows") > 0, std).alias("std"))
+
+
+def scaled_test_rows(
+    df: DataFrame, columns: Iterable[str], fold: Fold = Fold(), series: str = "barcode", keep: Iterable[str] = ("quantity",)
+) -> DataFrame:
+    """The test rows of every window, scaled by the statistics of that window's train part only.
+
+    The statistics are turned to one row per window and joined, so a backtest has
+    no look-ahead. Rows of windows without statistics do not exist: both follow
+    from the same positions.
+    """
+    columns, keep = list(columns), list(keep)
+    stats = scaler_by_window(df, columns, fold, series)
+    named = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "std"))))  # one entry per column
+    wide = stats.groupBy(series, "window_id").agg(named.alias("_stats"))
+    rows = test_rows(df.select(series, "date", *dict.fromkeys([*keep, *columns])), fold, series)
+    kept = [F.col(c) if c not in columns else F.col(c).alias(f"raw_{c}") for c in keep]
+    score = lambda c: (F.col(c).cast("double") - F.col("_stats")[c]["mean"]) / F.col("_stats")[c]["std"]
+    return rows.join(wide, [series, "window_id"]).select(series, "window_id", "date", *kept, *[score(c).alias(c) for c in columns])
+
+
 def leakage_correlations(
     df: DataFrame,
     columns: Iterable[str],
@@ -76,15 +161,11 @@ def leakage_correlations(
 ) -> DataFrame:
     """Correlation of every column with the target in the train part of every window.
 
-    Rows are summed once per block of ``step`` rows and a window adds up its
-    blocks and the head of the block after them, instead of copying each row into
-    the many windows that hold it. Values are centred on the series mean first,
-    which keeps the sums of squares accurate. Constant columns and targets give
-    null and are never suspicious.
+    Values are centred on the series mean first, which keeps the sums of squares
+    accurate. Constant columns and targets give null and are never suspicious.
     """
     columns = list(columns)
     whole = Window.partitionBy(series)
-    blocks_per_window, head = divmod(fold.train, fold.step)
     centred = positions(df.select(series, "date", target, *columns), series).select(
         series,
         "position",
@@ -105,28 +186,7 @@ def leakage_correlations(
         "loy": (F.min, F.col("_y")),
         "hiy": (F.max, F.col("_y")),
     }
-    in_head = F.col("position") % fold.step < head
-    blocks = long.groupBy(series, "feature", "n", F.floor(F.col("position") / fold.step).cast("int").alias("window_id")).agg(
-        *[f(v).alias(k) for k, (f, v) in moments.items()],
-        *[f(F.when(in_head, v)).alias(f"{k}_head") for k, (f, v) in moments.items()],
-    )
-    order = Window.partitionBy(series, "feature").orderBy("window_id")
-
-    def over_window(name: str) -> Column:
-        f = moments[name][0]
-        tail = F.lead(f"{name}_head", blocks_per_window).over(order) if head else None
-        if not blocks_per_window:
-            return F.col(f"{name}_head")
-        body = f(name).over(order.rowsBetween(0, blocks_per_window - 1))
-        if tail is None:
-            return body
-        if f is F.sum:
-            return body + tail
-        return F.least(body, tail) if f is F.min else F.greatest(body, tail)
-
-    windows = blocks.select(
-        series, "feature", "window_id", "n", *[over_window(k).alias(k) for k in moments]
-    ).where(F.col("window_id") * fold.step + fold.length <= F.col("n"))
+    windows = window_sums(long, moments, fold, series)
     count = F.col("n_rows")
     cov = count * F.col("sxy") - F.col("sx") * F.col("sy")
     var_x = count * F.col("sxx") - F.col("sx") * F.col("sx")
