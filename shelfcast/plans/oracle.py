@@ -297,6 +297,15 @@ def _scaled(columns) -> str:
     )
 
 
+WINDOW_STATS = "SELECT barcode, window_id, {} FROM windows WHERE role = 'train' GROUP BY barcode, window_id".format(
+    ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS {c}_mean, CASE WHEN min({c}) = max({c}) THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS {c}_std"
+        for c in FEATURES
+    )
+)
+EARLY = "1995-02-10"
+
+
 def _unpivoted(select, source: str) -> str:
     return " UNION ALL ".join(f"SELECT {select(c)} FROM {source}" for c in FEATURES)
 
@@ -537,7 +546,8 @@ FROM (SELECT * FROM rated WHERE lag_1 IS NOT NULL) a
 FULL OUTER JOIN features b ON a.barcode = b.barcode AND a.date = b.date""",
             ["real", "naive", "mean7"],
             ["date"],
-            ctes=_base(),
+            # Both sides read it, so it is worked out once.
+            ctes=_base().replace("rated AS (", "rated AS MATERIALIZED ("),
         ),
         "daily_errors": _tidy(
             f"""SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
@@ -609,6 +619,98 @@ UNION ALL SELECT barcode, 'only_processed' FROM (
 UNION ALL SELECT barcode, 'found_not_listed' FROM (SELECT barcode FROM found EXCEPT SELECT barcode FROM raw) AS b""",
             ctes=f"{ARTIFACTS}, found AS ({_market('BUILDING')} UNION {_market('MACHINERY')})",
         ),
+        "series_folder": _tidy(
+            f"SELECT {', '.join(EXPORT_COLUMNS)} FROM flagged", AMOUNTS, ["date"], ctes=_base(upto="flagged")
+        ),
+        "series_intake": _tidy(
+            f"SELECT {', '.join(c for c in EXPORT_COLUMNS if c != 'total_value')} FROM flagged",
+            [a for a in AMOUNTS if a != "total_value"],
+            ["date"],
+            ctes=_base(upto="flagged"),
+        ),
+        "rejected_rows": f"""WITH
+read_rows AS (WITH {_base(upto='dense')}
+  SELECT 'read' AS step, barcode, 'no column Quantity' AS reject_reason, count(*) AS rows FROM dense
+  WHERE CAST(barcode AS BIGINT) % 3 = 0 GROUP BY barcode),
+code_rows AS (WITH {_base('part', 'store')}
+  SELECT 'anonymise' AS step, barcode, 'no code' AS reject_reason, count(*) AS rows FROM lines
+  WHERE NOT (length(barcode) >= 7 AND barcode LIKE '7%') GROUP BY barcode),
+scale_rows AS (WITH {_base('supplier')}
+  SELECT 'scale' AS step, barcode, 'no train rows' AS reject_reason, count(*) AS rows FROM features
+  WHERE (date < DATE '{EARLY}' OR year(date) = {EARLY[:4]})
+    AND barcode NOT IN (SELECT barcode FROM features WHERE date < DATE '{EARLY}') GROUP BY barcode)
+SELECT * FROM read_rows UNION ALL SELECT * FROM code_rows UNION ALL SELECT * FROM scale_rows""",
+        "window_split": _tidy(
+            """SELECT barcode, window_id, min(date) FILTER (WHERE place < 292) AS fit_start, max(date) FILTER (WHERE place < 292) AS fit_end,
+  min(date) FILTER (WHERE place >= 292) AS validation_start, max(date) FILTER (WHERE place >= 292) AS validation_end,
+  CAST(count(*) FILTER (WHERE place < 292) AS INTEGER) AS fit_rows, CAST(count(*) FILTER (WHERE place >= 292) AS INTEGER) AS validation_rows
+FROM (SELECT *, position - window_id * 7 AS place FROM windows WHERE role = 'train') AS w GROUP BY barcode, window_id""",
+            (),
+            ["fit_start", "fit_end", "validation_start", "validation_end"],
+            ctes=weekly,
+        ),
+        "window_validation_rows": _tidy(
+            """SELECT barcode, date, quantity, CAST(position AS INTEGER) AS position, window_id FROM windows
+WHERE role = 'train' AND position - window_id * 30 >= 292""",
+            ["quantity"],
+            ["date"],
+            ctes=_base() + "," + _windows(365, 31, 30, "train"),
+        ),
+        "scaler_by_window": _tidy(
+            f"""SELECT barcode, window_id, unnest([{', '.join(f"'{c}'" for c in FEATURES)}]) AS feature,
+  unnest([{', '.join(f'{c}_mean' for c in FEATURES)}]) AS mean, unnest([{', '.join(f'{c}_std' for c in FEATURES)}]) AS std
+FROM ({WINDOW_STATS}) AS g""",
+            ["mean", "std"],
+            ctes=weekly,
+        ),
+        "scaled_by_window": _tidy(
+            f"""SELECT w.barcode, w.window_id, w.date, w.quantity, {', '.join(f'(CAST(w.{c} AS DOUBLE) - {c}_mean) / {c}_std AS {c}' for c in FEATURES)}
+FROM windows w JOIN ({WINDOW_STATS}) AS g ON w.barcode = g.barcode AND w.window_id = g.window_id WHERE role = 'test'""",
+            ["quantity", *FEATURES],
+            ["date"],
+            ctes=weekly,
+        ),
+        "comparison_version": _tidy(
+            f"SELECT barcode, model, {_scores()} FROM predictions GROUP BY barcode, model", MEASURES, ctes=_base() + "," + PREDICTIONS
+        ),
+        "harmonised": _tidy("SELECT * FROM predictions", ["real", "forecast"], ["date"], ctes=_base() + "," + PREDICTIONS),
+        "report_file": _tidy(
+            """SELECT CASE WHEN complete = 1 THEN '- ' || barcode ELSE 'Product ' || barcode || ': ' || concat_ws(' | ',
+    CASE WHEN missing_predictions <> '' THEN 'predictions missing for months: ' || missing_predictions END,
+    CASE WHEN missing_charts <> '' THEN 'charts missing for months: ' || missing_charts END) END AS line FROM coverage""",
+            ctes=ARTIFACTS + "," + COVERAGE,
+        ),
+        "difference_files": _tidy(
+            """SELECT barcode, 'listed_not_found' AS difference FROM (SELECT barcode FROM raw EXCEPT SELECT barcode FROM found) AS a
+UNION ALL SELECT barcode, 'found_not_listed' FROM (SELECT barcode FROM found EXCEPT SELECT barcode FROM raw) AS b""",
+            ctes=f"{ARTIFACTS}, found AS ({_market('BUILDING')} UNION {_market('MACHINERY')})",
+        ),
+        "patched_version": _tidy(
+            f"""SELECT barcode AS Barcode, date AS Date, quantity AS Quantity,
+  CASE WHEN {_on('date', LOCAL_HOLIDAYS)} THEN 1 ELSE 0 END AS Holiday FROM dense""",
+            ["Quantity"],
+            ["Date"],
+            ctes=_base(upto="dense"),
+        ),
+        "barcode_list": _tidy("SELECT DISTINCT barcode FROM lines", ctes=_base("part", "store")),
+        "folder_barcodes": _tidy("SELECT DISTINCT barcode FROM products", ctes=_base(upto="store")),
+        "numbered_codes": _tidy(
+            "SELECT product_code, CAST(row_number() OVER (ORDER BY score DESC, product_code) AS INTEGER) AS sequence FROM top", ctes=top
+        ),
+        "extra_steps": _tidy(
+            """SELECT barcode, date, quantity, lag_1 + lag_7 AS lag_sum, quantity / nullif(lag_7, 0) AS sold_share
+FROM features WHERE lag_7 <> 0""",
+            ["quantity", "lag_sum", "sold_share"],
+            ["date"],
+            ctes=_base(),
+        ),
+        "forecast_keys": _tidy(
+            f"""SELECT model, barcode, date, quantity AS real, 1 AS fine FROM features, (VALUES ('boosted'), ('sequence')) AS m(model)
+WHERE year(date) = {YEAR}""",
+            ["real"],
+            ["date"],
+            ctes=_base(),
+        ),
         "events_intake": _tidy(
             """SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS events,
   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS value FROM events GROUP BY 1, 2""",

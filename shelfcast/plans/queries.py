@@ -27,7 +27,7 @@ from shelfcast.operators import (
 from shelfcast.plans import demand
 from shelfcast.schemas import FEATURES
 from shelfcast.session import scratch_path
-from shelfcast.sinks import tables
+from shelfcast.sinks import tables, versions
 from shelfcast.sources import files, predictions, star
 from shelfcast.sources.star import END, SPLIT, START, YEAR
 from shelfcast.streaming import intake
@@ -37,6 +37,7 @@ REGISTRY: dict[str, Query] = {}
 MODELS = list(demand.CLOSED_FORM)
 WEEKLY = folds.Fold(365, 7, 7)
 MONTHLY = folds.Fold(365, 31, 30)
+EARLY = "1995-02-10"  # by when not every supplier has a usable row
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -164,6 +165,60 @@ def product_files(spark, sf_dir):
     return files.read_written_series(spark, path)
 
 
+def _product_files(spark, sf_dir, width: int = 0, without=None) -> str:
+    """A folder of the export as one file per product under its published name.
+
+    ``width`` more columns stand before the last ones. ``without`` names a column and a
+    test of the product code; those products' files lack it.
+    """
+    dense = demand.with_holidays(demand.dense(store(spark, sf_dir)))
+    more = [F.lit(i).alias(f"extra_{i}") for i in range(width)]
+    rows = tables.export_series(dense, more)
+    folder = scratch_path(spark, "raw")
+    if without is None:
+        parts = [rows]
+    else:
+        lacking = without[1](F.col("Barcode").cast("bigint"))
+        parts = [rows.where(~lacking), rows.where(lacking).drop(without[0])]
+    for part in parts:
+        path = scratch_path(spark, "series")
+        tables.write_files(part, path, "market-1")
+        tables.name_product_files(spark, path, folder)
+    return folder
+
+
+@query("series_folder")
+def series_folder(spark, sf_dir):
+    """Product files of 41 columns, read back by their headers."""
+    return files.read_series(spark, _product_files(spark, sf_dir, width=30))[0]
+
+
+@query("series_intake")
+def series_intake(spark, sf_dir):
+    """Product files taken in as they arrive: those of odd codes are there at first, the others come later."""
+    early = _product_files(spark, sf_dir, without=("TotalValue", lambda code: code % 2 == 0))
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("inbox", "taken", "taken-checkpoint"))
+    for parity in (1, 0):
+        tables.move_files(spark, early, folder, lambda name, parity=parity: int(name.removesuffix(".csv")[-1]) % 2 == parity)
+        intake.take_in_series(spark, folder, out, checkpoint)
+    return intake.taken_in(spark, out)[0].drop("total_value")
+
+
+@query("rejected_rows")
+def rejected_rows(spark, sf_dir):
+    """What operators leave out, by reason: files that lack a column, lines without a code, products that cannot be scaled."""
+    folder = _product_files(spark, sf_dir, without=("Quantity", lambda code: code % 3 == 0))
+    unread = files.read_series(spark, folder)[1].select(F.lit("read").alias("step"), "barcode", "reject_reason")
+    lines = store(spark, sf_dir, "part").lines
+    code = F.when(lookup.plausible_barcode(F.col("barcode")), F.col("product_code"))
+    uncoded = lookup.anonymised_parts(lines.select("barcode", code.alias("product_code")))[1]
+    uncoded = uncoded.select(F.lit("anonymise").alias("step"), "barcode", "reject_reason")
+    late = boosted.panel_parts(inputs(spark, sf_dir, "supplier"), EARLY, int(EARLY[:4]))[1]
+    unscaled = late.select(F.lit("scale").alias("step"), "barcode", "reject_reason")
+    rows = unread.unionByName(uncoded).unionByName(unscaled)
+    return rows.groupBy("step", "barcode", "reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("quality_counts")
 def quality_counts(spark, sf_dir):
     st = store(spark, sf_dir)
@@ -245,6 +300,28 @@ def validation_split(spark, sf_dir):
     )
 
 
+@query("window_split")
+def window_split(spark, sf_dir):
+    """The cut between rows to fit on and rows to validate on inside every weekly window."""
+    return folds.split_bounds(train(spark, sf_dir), WEEKLY)
+
+
+@query("window_validation_rows")
+def window_validation_rows(spark, sf_dir):
+    return folds.window_validation_rows(train(spark, sf_dir).select("barcode", "date", "quantity"), MONTHLY)
+
+
+@query("scaler_by_window")
+def scaler_by_window(spark, sf_dir):
+    return scaling.scaler_by_window(train(spark, sf_dir), FEATURES, WEEKLY)
+
+
+@query("scaled_by_window")
+def scaled_by_window(spark, sf_dir):
+    """Test rows of every weekly window, scaled by what was known before it."""
+    return scaling.scaled_test_rows(train(spark, sf_dir), FEATURES, WEEKLY)
+
+
 @query("scaler_stats")
 def scaler_stats(spark, sf_dir):
     return scaling.scaler_stats(train(spark, sf_dir), FEATURES)
@@ -345,6 +422,25 @@ def chart_series(spark, sf_dir):
     return compare.chart_series(compare.merge_models(predicted(spark, sf_dir), MODELS), MODELS)
 
 
+@query("comparison_version")
+def comparison_version(spark, sf_dir):
+    """Scores of the second of two written versions."""
+    path, p = scratch_path(spark, "comparison"), predicted(spark, sf_dir)
+    tables.write_comparison(p.where("model = 'naive'"), MODELS[:1], path)
+    tables.write_comparison(p, MODELS, path)
+    return versions.read_version(spark, path, "metrics")
+
+
+@query("harmonised")
+def harmonised(spark, sf_dir):
+    """Two models' outputs under their own column names, as one table."""
+    p = predicted(spark, sf_dir)
+    own = {m: p.where(F.col("model") == m).drop("model") for m in MODELS}
+    own["naive"] = own["naive"].select("barcode", F.col("date").alias("Date"), F.col("real").alias("Quantity"), F.col("forecast").alias("YHAT"))
+    own["mean7"] = own["mean7"].withColumnRenamed("forecast", "prediction_mean7")
+    return compare.stack_models(own)
+
+
 @query("predictions_reload")
 def predictions_reload(spark, sf_dir):
     path = scratch_path(spark, "predictions")
@@ -424,6 +520,66 @@ def barcode_reconcile(spark, sf_dir):
     return inventory.reconcile(listed, *found)
 
 
+@query("report_file")
+def report_file(spark, sf_dir):
+    """The status report as it stands in its file."""
+    path = scratch_path(spark, "report")
+    coverage = inventory.month_coverage(store(spark, sf_dir, "part").products, *_artifacts(spark, sf_dir), YEAR)
+    tables.write_report(inventory.report_lines(coverage), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("difference_files")
+def difference_files(spark, sf_dir):
+    """Both lists of the reconciliation as they stand in their files."""
+    path = scratch_path(spark, "differences")
+    listed, _ = _file_sets(spark, sf_dir)
+    found = [star.market_barcodes(spark, sf_dir, m) for m in ("BUILDING", "MACHINERY")]
+    tables.write_differences(inventory.reconcile(listed, *found), path)
+    return spark.read.text(path).select(F.col("value").alias("barcode"), "difference")
+
+
+@query("patched_version")
+def patched_version(spark, sf_dir):
+    """The export without holidays, patched by the local days as a new version."""
+    path = scratch_path(spark, "patched")
+    dense = demand.dense(store(spark, sf_dir)).withColumn("holiday", F.lit(0))
+    tables.patch_series(tables.export_series(dense), path, fmt="parquet")
+    return spark.read.parquet(path).select("Barcode", "Date", "Quantity", "Holiday")
+
+
+@query("barcode_list")
+def barcode_list(spark, sf_dir):
+    """A list file with blanks and repeats: the barcodes of all lines."""
+    path = scratch_path(spark, "list")
+    sold = store(spark, sf_dir, "part").lines.select(F.concat(F.lit(" "), "barcode", F.lit(" ")))
+    sold.write.text(path)
+    return files.read_barcode_list(spark, path)
+
+
+@query("folder_barcodes")
+def folder_barcodes(spark, sf_dir):
+    """Barcodes by the names of the files in a folder."""
+    return files.barcodes_in_folder(spark, _product_files(spark, sf_dir))
+
+
+@query("numbered_codes")
+def numbered_codes(spark, sf_dir):
+    """The codes of the top products with their place in the list."""
+    top = lookup.top_products(star.revenue_scores(spark, sf_dir), store(spark, sf_dir, "part").products)
+    return lookup.numbered(spark, [r.product_code for r in top.collect()])  # a thousand at most
+
+
+@query("extra_steps")
+def extra_steps(spark, sf_dir):
+    """Features with a step of one's own, whose incomplete rows go as well."""
+    series = demand.with_holidays(demand.dense(store(spark, sf_dir))).drop("holiday_eve", "product_code")
+    ahead = lambda df: df.withColumn("lag_sum", F.col("lag_1") + F.col("lag_7")).withColumn(
+        "sold_share", F.try_divide("quantity", F.col("lag_7"))
+    )
+    return features.build_features(series, extra=[ahead]).select("barcode", "date", "quantity", "lag_sum", "sold_share")
+
+
 # -------------------------------------------------------------------- streaming
 
 
@@ -472,6 +628,18 @@ def forecast_gbt(spark, sf_dir):
     return boosted.forecast(panel, boosted.fit_base(panel, SPLIT), YEAR)
 
 
+@query("forecast_keys")
+def forecast_keys(spark, sf_dir):
+    """The rows that the boosted and the sequence forecast have, their actual values, and whether forecasts are as promised."""
+    rows = inputs(spark, sf_dir)
+    panel = boosted.panel_rows(rows, SPLIT, YEAR)
+    quick = boosted.Settings(rounds=3)
+    trees = boosted.forecast(panel, boosted.fit_base(panel, SPLIT, quick), YEAR)
+    both = trees.unionByName(ridge.forecast_sequence(rows, SPLIT, YEAR, clip=True))
+    fine = (F.col("forecast").isNotNull() & ~F.isnan("forecast") & (F.col("forecast") >= 0)).cast("int")
+    return both.select("model", "barcode", "date", "real", fine.alias("fine"))
+
+
 @query("forecast_walk_forward")
 def forecast_walk_forward(spark, sf_dir):
     panel = boosted.panel_rows(inputs(spark, sf_dir), SPLIT, YEAR)

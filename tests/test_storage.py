@@ -13,7 +13,7 @@ from shelfcast.operators.folds import Fold
 from shelfcast.plans import forecast
 from shelfcast.schemas import EXPORT_COLUMNS, FEATURES
 from shelfcast.session import scratch_path
-from shelfcast.sinks import models, tables
+from shelfcast.sinks import models, tables, versions
 from shelfcast.sources import files, predictions
 from shelfcast.streaming import intake
 
@@ -187,8 +187,8 @@ def test_forecast_plan(spark, inputs, tmp_path):
     assert len(got) == 2 * 366 and (got.forecast >= 0).all()
     naive = inputs.where("year(date) = 2024").toPandas().groupby("barcode").quantity.apply(lambda q: q.diff().abs().mean()).mean()
     assert (got.forecast - got.real).abs().mean() < naive
-    assert spark.read.parquet(str(tmp_path / "c" / "metrics")).count() == 4
-    assert spark.read.parquet(str(tmp_path / "c" / "daily")).select("year", "month").distinct().count() == 12
+    assert versions.read_version(spark, plan.comparison, "metrics").count() == 4
+    assert versions.read_version(spark, plan.comparison, "daily").select("year", "month").distinct().count() == 12
     reuse = {n: forecast.ModelOptions(forecast.REUSE) for n in both}
     assert forecast.run(spark, None, plan, reuse)["sequence"].count() == 2 * 366
     with pytest.raises(ValueError, match="no inputs"):
