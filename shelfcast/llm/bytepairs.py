@@ -33,7 +33,7 @@ SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # W
 UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 MARKED = re.compile("(?<=[!,.:;?。，、！？：；])(?=[^\\W_])")  # a mark that is no apostrophe, then a letter or digit
 LONG = 1 << 12  # code points, from which a unit is cut behind marks too
-KEPT_UNITS, KEPT_IDS = 800_000, 6_000_000  # that a Python worker remembers, about 230 MB
+KEPT_UNITS, KEPT_IDS = 400_000, 3_000_000  # that a Python worker remembers, about 120 MB
 GROUP = 1 << 20  # bytes of text that are put together at a time
 
 
