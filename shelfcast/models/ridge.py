@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PENALTIES = (1.0, 10.0, 100.0, 1000.0)
 TRAIN_SHARE = 0.8
 STEPS = 7
+CELLS = 1 << 20  # of the normal equations that a task holds at a time, per penalty
 
 
 def scaled_inputs(
@@ -57,49 +58,46 @@ def solve(gram: np.ndarray, moment: np.ndarray, penalty: float) -> np.ndarray:
 def fit(x: np.ndarray, y: np.ndarray, penalties: Sequence[float] = PENALTIES) -> tuple[np.ndarray, float]:
     """Coefficients from the first 80 percent of the rows, penalty by MAE on the rest."""
     cut = int(len(x) * TRAIN_SHARE)
-    return best_of(x[:cut].T @ x[:cut], x[:cut].T @ y[:cut], x[cut:], y[cut:], penalties)
+    betas, chosen = fit_windows(x, y, np.zeros(1, int), cut, len(x), penalties)
+    return betas[0], chosen[0]
 
 
-def best_of(
-    gram: np.ndarray, moment: np.ndarray, x: np.ndarray, y: np.ndarray, penalties: Sequence[float]
-) -> tuple[np.ndarray, float]:
-    """Coefficients of the penalty with the lowest MAE on ``x, y``; the first of equal ones."""
-    ridges = np.zeros((len(penalties), *gram.shape))
-    ridges[:, range(len(gram)), range(len(gram))] = np.array(penalties, float)[:, None]
-    ridges[:, -1, -1] = 1e-9
-    betas = np.linalg.solve(gram + ridges, np.broadcast_to(moment[:, None], (len(penalties), len(gram), 1)))[:, :, 0]
-    best = int(np.abs(betas @ x.T - y).mean(axis=1).argmin()) if len(x) else 0
-    return betas[best], penalties[best]
+def window_sums(x: np.ndarray, y: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``X'X`` and ``X'y`` of the rows ``start .. start + size`` of each start.
+
+    Rows are multiplied once per block between two window borders, and a window is
+    the difference of two running sums of blocks.
+    """
+    both = np.hstack([x, y[:, None]])
+    edges = np.unique(np.concatenate([starts, starts + size]))
+    sums = np.zeros((len(edges), both.shape[1], both.shape[1]))
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        np.matmul(both[a:b].T, both[a:b], out=sums[i + 1])
+        sums[i + 1] += sums[i]
+    windows = sums[np.searchsorted(edges, starts + size)] - sums[np.searchsorted(edges, starts)]
+    return windows[:, :-1, :-1], windows[:, :-1, -1]
 
 
-def window_sums(x: np.ndarray, y: np.ndarray, starts: Sequence[int], size: int):
-    """``X'X, X'y`` of the rows ``start .. start + size`` of each start, in order.
+def fit_windows(
+    x: np.ndarray, y: np.ndarray, starts: np.ndarray, cut: int, stop: int, penalties: Sequence[float] = PENALTIES
+) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients of each window from its first ``cut`` rows, and the penalty with the lowest MAE up to row ``stop``.
 
-    Rows are multiplied once per block between two window borders. The sums go from
-    one window to the next by the blocks that enter and leave. They are added up
-    afresh whenever as many blocks have passed as a window has, so that rounding
-    does not pile up.
+    The first of equal penalties is taken, also where no row is left to tell them apart.
     """
-    if not len(starts):
-        return
-    both = np.hstack([x, y[:, None]])
-    edges = np.unique(np.concatenate([starts, np.asarray(starts) + size]))
-    place = {int(e): i for i, e in enumerate(edges)}
-    blocks: dict[int, np.ndarray] = {}
-    low = high = fresh = 0
-    total = np.zeros((both.shape[1],) * 2)
-    for start in starts:
-        first, last = place[int(start)], place[int(start) + size]
-        for i in range(max(high, first), last):
-            blocks[i] = both[edges[i] : edges[i + 1]].T @ both[edges[i] : edges[i + 1]]
-            total = total + blocks[i]
-        for i in range(low, first):
-            total = total - blocks.pop(i) if i in blocks else total
-        low, high = first, max(high, last)
-        if first >= fresh:
-            total = sum((blocks[i] for i in range(first, last)), np.zeros_like(total))
-            fresh = last
-        yield total[:-1, :-1], total[:-1, -1]
+    grams, moments = window_sums(x, y, starts, cut)
+    size, count = x.shape[1], len(penalties)
+    ridges = np.zeros((count, size, size))
+    ridges[:, range(size), range(size)] = np.array(penalties, float)[:, None]
+    ridges[:, -1, -1] = 1e-9
+    right = np.broadcast_to(moments[:, None, :, None], (len(starts), count, size, 1))
+    betas = np.linalg.solve(grams[:, None] + ridges, right)[..., 0]
+    best = np.zeros(len(starts), int)
+    if stop > cut:
+        rows = starts[:, None] + np.arange(cut, stop)
+        off = betas @ x[rows].transpose(0, 2, 1) - y[rows][:, None]
+        best = np.abs(off).mean(axis=2).argmin(axis=1)
+    return betas[np.arange(len(starts)), best], np.array(penalties, float)[best]
 
 
 def steps_before(x: np.ndarray, steps: int) -> np.ndarray:
@@ -126,15 +124,17 @@ def _backtest(inputs, split, fold, columns, series, sequence_steps, clip, penalt
         z, y = with_intercept(steps_before(x, lead) if lead else x), y[lead:]
         rows, ids, forecasts, chosen = [], [], [], []
         count = (len(x) - length) // step + 1 if len(x) >= length and train > lead and length > train + lead else 0
-        starts = [step * w for w in range(count)]
-        for w, (gram, moment) in enumerate(window_sums(z, y, starts, cut)):
-            a, b, c = starts[w] + cut, starts[w] + train - lead, starts[w] + train
-            beta, penalty = best_of(gram, moment, z[a:b], y[a:b], penalties)
-            test = np.arange(c, starts[w] + length - lead)
-            rows.append(test + lead)
-            ids.append(np.full(len(test), w))
-            forecasts.append(z[test] @ beta)
-            chosen.append(np.full(len(test), penalty))
+        many = max(1, CELLS // z.shape[1] ** 2)  # windows whose equations are held at a time
+        for low in range(0, count, many):
+            window = np.arange(low, min(low + many, count))
+            first = window[0] * step
+            part = slice(first, window[-1] * step + length)
+            betas, best = fit_windows(z[part], y[part], window * step - first, cut, train - lead, penalties)
+            test = window[:, None] * step + np.arange(train, length - lead)
+            rows.append((test + lead).ravel())
+            ids.append(np.repeat(window, test.shape[1]))
+            forecasts.append((z[test] @ betas[:, :, None])[..., 0].ravel())
+            chosen.append(np.repeat(best, test.shape[1]))
         index = np.concatenate(rows) if rows else np.empty(0, int)
         test = pdf[[series, "date", "quantity"]].iloc[index].reset_index(drop=True)
         return pd.DataFrame(

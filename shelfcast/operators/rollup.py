@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import parse_day
 from shelfcast.functions.numeric import DAILY_SCALE, SOURCE_SCALE, exact_parts, half_up, not_nan, truncated, units
-from shelfcast.session import by_key
+from shelfcast.session import by_key, materialise
 
 
 def sale_days(sales: DataFrame) -> DataFrame:
@@ -162,40 +162,43 @@ def split_median_days(sold: DataFrame, keys: list[str]) -> DataFrame:
     Prices are counted in cells of nearly equal prices. The cells of a key, whose
     number does not grow with the lines, tell where the middle ranks lie, and only
     the prices inside those cells are ordered. No step brings a whole key to one
-    task; the price is more shuffles, so this is for stores known to have such days.
+    task. The lines are read once: their combined pairs are written, and both prices
+    are looked at as one long table. This is for stores known to have such days.
     """
-    pairs = _price_pairs(sold, keys)
-    result = pairs.groupBy(*keys).agg(*_totals())
-    for c in PRICES:
-        result = result.join(_middle_price(pairs, keys, c), keys)
-    return result
+    pairs = materialise(_price_pairs(sold, keys), "price-pairs")
+    medians = _middle_prices(pairs, keys).groupBy(*keys)
+    medians = medians.agg(*[F.max(F.when(F.col("which") == c, F.col("middle"))).alias(c) for c in PRICES])
+    return pairs.groupBy(*keys).agg(*_totals()).join(medians, keys)
 
 
-def _middle_price(pairs: DataFrame, keys: list[str], c: str) -> DataFrame:
-    price = F.col(c)
+def _middle_prices(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, which, middle``: the median of each of the prices."""
+    each = [*keys, "which"]
+    long = pairs.select(*keys, "n", *PRICES).unpivot([*keys, "n"], list(PRICES), "which", "price")
+    price = F.col("price")
     cell = F.signum(price) * F.floor(F.log2(F.abs(price) + 1) * CELLS_PER_DOUBLING)
-    counts = pairs.groupBy(*keys, cell.cast("bigint").alias("cell"), c).agg(F.sum("n").alias("n"))
-    in_order = Window.partitionBy(*keys).orderBy("cell")
+    counts = long.groupBy(*each, cell.cast("bigint").alias("cell"), "price").agg(F.sum("n").alias("n"))
+    in_order = Window.partitionBy(*each).orderBy("cell")
     everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total, upto, n = F.col("total"), F.col("upto"), F.col("n")
     low, high = _low_rank(total), _high_rank(total)
     middle_cells = (
-        counts.groupBy(*keys, "cell")
+        long.groupBy(*each, cell.cast("bigint").alias("cell"))
         .agg(F.sum("n").alias("n"))
         .select(
-            *keys,
+            *each,
             "cell",
             "n",
             F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
             F.sum("n").over(everything).alias("total"),
         )
         .where(_holds(low, upto, n) | _holds(high, upto, n))
-        .select(*keys, "cell", "total", (upto - n).alias("before"))
+        .select(*each, "cell", "total", (upto - n).alias("before"))
     )
-    inside = Window.partitionBy(*keys, "cell").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(middle_cells, [*keys, "cell"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+    inside = Window.partitionBy(*each, "cell").orderBy("price").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(middle_cells, [*each, "cell"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
     ends = [F.max(F.when(_holds(rank, upto, n), price)) for rank in (low, high)]
-    return ranked.groupBy(*keys).agg(half_up((ends[0] + ends[1]) / 2).alias(c))
+    return ranked.groupBy(*each).agg(half_up((ends[0] + ends[1]) / 2).alias("middle"))
 
 
 def merge_duplicate_days(daily: DataFrame, series: str = "barcode") -> DataFrame:

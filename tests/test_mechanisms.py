@@ -130,9 +130,9 @@ def test_saved_model_scores_by_its_own_statistics(spark, tmp_path):
 def test_window_sums(starts, size):
     rng = np.random.default_rng(2)
     x, y = ridge.with_intercept(1000 * rng.normal(size=(1796, 6))), rng.normal(size=1796)
-    got = list(ridge.window_sums(x, y, list(starts), size))
-    assert len(got) == len(list(starts))
-    for s, (gram, moment) in zip(starts, got):
+    grams, moments = ridge.window_sums(x, y, np.array(starts, int), size)
+    assert len(grams) == len(moments) == len(list(starts))
+    for s, gram, moment in zip(starts, grams, moments):
         assert np.allclose(gram, x[s : s + size].T @ x[s : s + size], rtol=1e-10, atol=1e-6)
         assert np.allclose(moment, x[s : s + size].T @ y[s : s + size], rtol=1e-10, atol=1e-6)
 
@@ -417,3 +417,40 @@ def test_plan_reads_a_comparison_version(spark, tmp_path):
     reuse = {n: forecast.ModelOptions(forecast.REUSE) for n in ("x", "y")}
     forecast.run(spark, inputs, plan, reuse)
     assert versions.read_version(spark, plan.comparison, "annual").first().real == 4.0
+
+
+# ------------------------------------------------------------------------ sums
+
+
+@pytest.mark.parametrize(
+    "values, whole, thousandths",
+    [
+        ([0.1] * 10, 1.0, 1000.0),
+        ([123456.7, 0.3], 123457.0, 123457000.0),
+        ([-0.1] * 15, -1.0, -1500.0),
+        ([-2.5, 0.5], -2.0, -2000.0),
+        ([-0.2, 0.1], 0.0, -100.0),
+        ([0.33334] * 3, 1.0, 1000.02),
+        ([1e12 + 0.25, 0.75], 1e12 + 1, 1e15 + 1000),
+        ([4e17, 1.0], 4e17 + 0.0, 4e20),
+        ([None, float("nan"), float("inf"), float("-inf"), 7.25], 7.0, 7250.0),
+        ([], None, None),
+    ],
+)
+def test_exact_parts(spark, values, whole, thousandths):
+    from shelfcast.functions.numeric import exact_parts, truncated, units
+
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    a, b = (F.sum(x) for x in exact_parts(df, "v"))
+    got = df.agg(truncated(a, b).alias("whole"), units(a, b, 1000).alias("units")).first()
+    assert (got.whole, got.units) == (whole, pytest.approx(thousandths, rel=1e-13) if thousandths is not None else None)
+    assert got.whole is None or str(got.whole) != "-0.0"
+
+
+def test_exact_parts_of_decimals(spark):
+    from shelfcast.functions.numeric import exact_parts, truncated, units
+
+    df = spark.sql("SELECT * FROM VALUES (CAST('-12345678901234567.1234' AS DECIMAL(30,4))), (CAST('0.1234' AS DECIMAL(30,4))), (NULL) AS t(v)")
+    a, b = (F.sum(x) for x in exact_parts(df, "v"))
+    got = df.agg(truncated(a, b).alias("whole"), units(a, b, 1000).alias("units")).first()
+    assert got.whole == -12345678901234567.0 and got.units == pytest.approx(-12345678901234567000.0)
