@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.texts import checkpointed
+from shelfcast.session import broadcast_up_to
 
 LEVELS = 6
 QUERY_BITS = 8
 MOST = 1 << 56  # squared length from which a row takes no part, so that any score fits its integer type
 ROWS, ANCHORS = 8192, 1024  # that meet in a block
 SLICE = 1 << 20  # pairs whose estimates are held at a time
+MOST_LABELS = 100_000  # whose block counts are broadcast; more are joined by shuffle
 
 
 class Rotations:
@@ -221,7 +223,8 @@ def _blocks(anchors: DataFrame, rows: DataFrame, by: list[str], dim: int, k: int
     parts = counts.select(
         *by, F.ceil(F.col("r") / F.lit(sizes[0])).cast("int").alias("row_blocks"), F.ceil(F.col("a") / F.lit(sizes[1])).cast("int").alias("anchor_blocks")
     )
-    # Groups are labels: their table is small beside the rows, and adaptive execution joins it as its size asks.
+    # A row per label; sent to all tasks if its size is proven small, so that the rows need not be shuffled for it.
+    parts = broadcast_up_to(checkpointed(parts, "blocks"), MOST_LABELS)
     met = []
     for side, own, other in ((anchors, "anchor", "row"), (rows, "row", "anchor")):
         dealt = side.join(parts, by).withColumn(f"{own}_block", F.pmod(F.xxhash64("key", "vec_id"), F.col(f"{own}_blocks").cast("long")))
