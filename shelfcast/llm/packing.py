@@ -25,50 +25,75 @@ from tokenizers import Tokenizer
 
 from shelfcast.llm.texts import Words, checkpointed, present, row_groups, slices, split_words, string_buffer
 
-KEPT_UNITS = 400_000  # that a Python worker remembers, about 55 MB
+KEPT_UNITS = 400_000  # of a generation; a Python worker remembers two, about 110 MB
+LEARNT = 5_000  # units that the library encodes at a time; it takes about a kilobyte for each
+GROUP = 1 << 20  # bytes of text that are encoded at a time
+RANKED = 20_000  # pieces of one length that are ranked together, about
+
+
+class Units:
+    """Ids of units by key, in one pool."""
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.begin, self.end = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = 0
+
+    def add(self, keys: list[int], flat: np.ndarray, sizes: np.ndarray) -> None:
+        first, ends = len(self.place), self.used + np.cumsum(sizes)
+        self.place.update(zip(keys, range(first, first + len(keys))))
+        self.pool = _grown(self.pool, self.used + len(flat))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.begin, self.end = (_grown(x, first + len(keys)) for x in (self.begin, self.end))
+        self.begin[first : first + len(keys)], self.end[first : first + len(keys)] = ends - sizes, ends
+        self.used += len(flat)
+
+    def places(self, keys: list[int]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+
+    def ids_at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units at these places behind each other, and how many each has."""
+        sizes = self.end[place] - self.begin[place]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        return self.pool[np.repeat(self.begin[place] - stops[:-1], sizes) + np.arange(stops[-1])], sizes
 
 
 class Encoder:
     """Ids of whole batches for a vocabulary that lowers case, drops white space and never joins what it parts.
 
-    The library encodes each distinct unit once. A unit is a stretch between white
-    space. If it is a run of ASCII or Latin-1 letters and digits with ASCII marks
+    The library encodes each distinct unit once while it is remembered: when a
+    generation of units is full, the one before it goes, but for the units that were
+    met again. A unit is a stretch between white space.
+    If it is a run of ASCII or Latin-1 letters and digits with ASCII marks
     behind it, the run (A-Z lowered) and the marks are units of their own, since
     the vocabulary's pattern always parts them there.
     """
 
     def __init__(self, path: str):
         self.vocabulary = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 12, np.int64)
-        self.end = np.zeros(1 << 12, np.int64)
-        self.used = 0
-
-    def learn(self, keys: list[int], units: list[str]) -> None:
-        """Remember the ids of new units."""
-        for at in range(0, len(units), 50_000):
-            codes = self.vocabulary.encode_batch_fast(units[at : at + 50_000], add_special_tokens=False)
+        self.old, self.young = Units(), Units()
+
+    def _remember(self, keys: list[int], text_of) -> None:
+        """See to it that the young generation has these units; ``text_of`` gives a unit by its place in ``keys``."""
+        if len(self.young.place) + len(keys) > KEPT_UNITS:
+            self.old, self.young = self.young, Units()
+        lacking = [i for i, k in enumerate(keys) if k not in self.young.place]
+        again = [keys[i] for i in lacking if keys[i] in self.old.place]
+        self.young.add(again, *self.old.ids_at(self.old.places(again)))
+        new = [i for i in lacking if keys[i] not in self.old.place]
+        for at in range(0, len(new), LEARNT):
+            some = new[at : at + LEARNT]
+            codes = self.vocabulary.encode_batch_fast([text_of(i) for i in some], add_special_tokens=False)
             ids = [c.ids for c in codes]
-            sizes = np.array([len(i) for i in ids], np.int64)
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            first = len(self.place)
-            self.place.update(zip(keys[at : at + 50_000], range(first, first + len(ids))))
-            self.pool = _grown(self.pool, self.used + len(flat))
-            self.pool[self.used : self.used + len(flat)] = flat
-            ends = self.used + np.cumsum(sizes)
-            self.begin, self.end = (_grown(x, first + len(ids)) for x in (self.begin, self.end))
-            self.begin[first : first + len(ids)], self.end[first : first + len(ids)] = ends - sizes, ends
-            self.used += len(flat)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.young.add([keys[i] for i in some], np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         raw, bounds = string_buffer(column)
         out: list[np.ndarray] = []
-        for low, high in row_groups(bounds):
+        for low, high in row_groups(bounds, GROUP):
             out += self._group(raw[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
         return out
 
@@ -86,17 +111,10 @@ class Encoder:
         first = np.concatenate([[0], np.cumsum(keep)])[words.first]
         keys, starts, ends = keys[keep], words.start[keep], words.end[keep]
         distinct, at, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.place) + len(distinct) > KEPT_UNITS:
-            self.forget()
         listed = distinct.tolist()
-        new = [i for i, k in enumerate(listed) if k not in self.place]
-        texts = [odd.get(listed[i]) or data[starts[at[i]] : ends[at[i]]].decode() for i in new]
-        self.learn([listed[i] for i in new], texts)
-        place = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[which]
-        sizes = self.end[place] - self.begin[place]
-        stops = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.pool[np.repeat(self.begin[place] - stops[:-1], sizes) + np.arange(stops[-1])]
-        cuts = stops[first]
+        self._remember(listed, lambda i: odd.get(listed[i]) or data[starts[at[i]] : ends[at[i]]].decode())
+        ids, sizes = self.young.ids_at(self.young.places(listed)[which])
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[first]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
@@ -227,19 +245,21 @@ def ranked(pieces: DataFrame, parts: int) -> DataFrame:
 
 
 def packed_pieces(
-    docs: DataFrame, size: int = 4096, path: str | None = None, end_id: int = 2, parts: int = 64
+    docs: DataFrame, size: int = 4096, path: str | None = None, end_id: int = 2, parts: int | None = None
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: where each piece of each document stands.
 
     A null or empty text is one piece that holds ``end_id`` alone. Repeated rows
     and rows with a null id are packed like all others. Only ``doc_id`` and
-    ``text`` are read. The driver gets the histogram, at most ``size`` rows.
+    ``text`` are read. The driver gets the histogram, at most ``size`` rows; the
+    number of ``parts`` in which a length is ranked follows from its commonest one.
     """
     spark = docs.sparkSession
     path = path or public_tokenizers.path("word_bpe_49k.json")
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     pieces = checkpointed(present(docs, "doc_id").mapInArrow(_pieces(path, size, end_id), schema), "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = parts or max(1, -(-max(histogram.values(), default=0) // RANKED))
     slots = _slot_table(spark, shortest_pack_first(histogram, size))
     where = (F.col("p.length") == F.col("s.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     # A pattern holds distinct lengths and splits once per bin at most: a few rows per length.

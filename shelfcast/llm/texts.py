@@ -19,6 +19,7 @@ from shelfcast.session import materialise
 
 U64 = np.uint64
 BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+BYTES_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 PIECE = 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
@@ -162,12 +163,13 @@ def slices(batches, rows: int = 1000):
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches to a thousand rows.
+    """Bound the session's Arrow batches to a thousand rows and eight megabytes.
 
     Texts are long: ten thousand whole ones beside what is made of them may fill a task's memory.
     """
     if not 0 < int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+    spark.conf.set(BYTES_CONF, str(BATCH_BYTES))
 
 
 def present(docs: DataFrame, *columns: str) -> DataFrame:
