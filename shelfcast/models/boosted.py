@@ -45,7 +45,7 @@ class Settings:
     rounds: int = 10_000
     patience: int = 50
     block: int = 100
-    rate: float = 0.1
+    rate: float = 0.3
     update_rounds: int = 5
     held_out: int = 3
     update_weights: tuple[float, ...] = (0.1, 0.3, 1.0)
