@@ -118,6 +118,19 @@ def test_hot_day_is_the_same_when_split(spark):
     assert plain[0].unit_value == pytest.approx(hot.agg(F.median("unit_value")).first()[0], abs=1e-3)
 
 
+def test_only_days_with_several_prices_are_searched(spark, monkeypatch):
+    rows = [(day(d), p, "a", 0, 1.0, 0.0, 2.0 + p, 1.0 + (k if d == 3 else 0), 0.0, 0.0) for d in (1, 2, 3) for p in (1, 2) for k in range(5)]
+    searched, search = [], rollup._middle_prices
+    monkeypatch.setattr(rollup, "_middle_prices", lambda pairs, keys: searched.append(pairs) or search(pairs, keys))
+    sales, lines, _ = store(spark, rows)
+    sold = lines.join(rollup.sale_days(sales), "sale_id")
+    keys = ["date", "product_code", "barcode"]
+    split = rollup.split_median_days(sold, keys)
+    assert {r.date for r in searched[0].collect()} == {day(3)}
+    plain = rollup.median_days(sold, keys).select(split.columns)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_duplicate_days(spark):
     rows = [
         (day(1), 1, "a", 0, 3.0, 0.0, 2.0, 1.0, 0.1, 0.0),
