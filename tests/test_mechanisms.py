@@ -9,15 +9,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from shelfcast import schemas
 from shelfcast.functions import rejects
 from shelfcast.models import boosted, ridge
 from shelfcast.operators import folds, lookup, scaling
 from shelfcast.operators.folds import Fold
-from shelfcast.plans import forecast
+from shelfcast.plans import forecast, queries
 from shelfcast.schemas import EXPORT_COLUMNS
 from shelfcast.session import scratch_path
 from shelfcast.sinks import models, tables, versions
-from shelfcast.sources import database, files
+from shelfcast.sources import database, files, star
 from shelfcast.streaming import intake
 
 COLUMNS = ["x0", "x1", "x2"]
@@ -454,3 +455,35 @@ def test_exact_parts_of_decimals(spark):
     a, b = (F.sum(x) for x in exact_parts(df, "v"))
     got = df.agg(truncated(a, b).alias("whole"), units(a, b, 1000).alias("units")).first()
     assert got.whole == -12345678901234567.0 and got.units == pytest.approx(-12345678901234567000.0)
+
+
+@pytest.mark.parametrize("name", ["series_intake", "rejected_rows"])
+def test_lines_are_read_once(spark, monkeypatch, name):
+    days, read = 460, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    sales = spark.range(days).select(
+        F.col("id").alias("sale_id"), F.expr("timestamp_ntz'1999-06-01 10:00:00' + make_dt_interval(id)").alias("sold_at")
+    )
+    products = spark.createDataFrame([(k, f"700000000000{k}") for k in (1, 2)], schemas.PRODUCTS)
+    lines = sales.select("sale_id").join(products.select("product_code")).select(
+        "sale_id",
+        "product_code",
+        F.lit("700001").alias("barcode"),
+        F.lit(0).alias("on_promotion"),
+        (F.col("sale_id") % 7 + 1).cast("double").alias("quantity"),
+        F.lit(0.0).alias("returned_quantity"),
+        F.lit(2.0).alias("unit_value"),
+        F.lit(1.0).alias("cost_value"),
+        F.lit(0.1).alias("discount"),
+        F.lit(0.1).alias("increase"),
+    )
+    plain = star.Store(sales, lines, products)
+    watched = star.Store(sales, lines.mapInArrow(counted, lines.schema), products)
+    monkeypatch.setattr(queries, "store", lambda spark, folder, product="brand": watched if product == "brand" else plain)
+    queries.REGISTRY[name](spark, "").collect()
+    assert read.value == 2 * days
