@@ -457,7 +457,7 @@ def test_exact_parts_of_decimals(spark):
     assert got.whole == -12345678901234567.0 and got.units == pytest.approx(-12345678901234567000.0)
 
 
-@pytest.mark.parametrize("name", ["series_intake", "rejected_rows", "compare_merge_coverage", "forecast_keys"])
+@pytest.mark.parametrize("name", ["series_intake", "rejected_rows", "compare_merge_coverage", "comparison_version", "forecast_keys"])
 def test_lines_are_read_once(spark, monkeypatch, name):
     days, read = 460, spark.sparkContext.accumulator(0)
 
