@@ -131,6 +131,14 @@ def test_only_days_with_several_prices_are_searched(spark, monkeypatch):
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_lines_move_once_to_their_day(spark):
+    rows = [(day(1), 1, "a", 0, 1.0, 0.0, p, p, 0.0, 0.0) for p in (1.0, 8.0)]
+    sales, lines, _ = store(spark, rows)
+    sold = lines.join(F.broadcast(rollup.sale_days(sales)), "sale_id")
+    plan = rollup.median_days(sold, ["date", "product_code", "barcode"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_duplicate_days(spark):
     rows = [
         (day(1), 1, "a", 0, 3.0, 0.0, 2.0, 1.0, 0.1, 0.0),
