@@ -1,10 +1,12 @@
 """Token counts of whole texts; huge ones by overlapping chunks that are spliced where they must agree.
 
+The vocabulary's pattern must part the text, whatever stands around, before a lone
+blank between two characters that are not white space. Texts are cut there, and the
+library encodes each distinct piece once while its count is remembered.
+
 A text longer than a chunk is cut into chunks that overlap, which any tasks can
 encode. Two neighbours are spliced at a place inside their overlap where both
-have a token boundary and where the vocabulary's pattern must part the text
-whatever stands around: before a lone blank between two characters that are not
-white space. What lies left of it is counted in the left chunk, what lies right
+have a token boundary, before such a lone blank. What lies left of it is counted in the left chunk, what lies right
 of it in the right chunk, so the counts add up to those of the whole text. Where
 an overlap holds no such place, the text goes round again with overlaps and
 chunks four times as wide, until one chunk holds it all.
@@ -26,8 +28,10 @@ from shelfcast.llm.texts import checkpointed, present, slices
 
 CHUNK = 1 << 16  # code points
 OVERLAP = 1 << 9
+KEPT_PIECES, KEPT_CHARS = 400_000, 4_000_000  # whose counts a task remembers, about 50 MB
 _TOKENIZERS: dict[str, Tokenizer] = {}
 STABLE = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -39,10 +43,19 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 def _counts(path: str):
+    """Tokens of each text as the sum over its pieces."""
+
     def run(batches):
+        known, chars = {}, 0
         for batch in slices(batches):
-            codes = tokenizer(path).encode_batch_fast(batch.column("text").to_pylist(), add_special_tokens=False)
-            cols = [batch.column("doc_id"), batch.column("n_bytes"), pa.array([len(c.ids) for c in codes], pa.int64())]
+            pieces = [CUT.split(text) for text in batch.column("text").to_pylist()]
+            new = list(set().union(*pieces) - known.keys())
+            known.update(zip(new, map(len, tokenizer(path).encode_batch_fast(new, add_special_tokens=False))))
+            counts = [sum(map(known.__getitem__, p)) for p in pieces]
+            chars += sum(map(len, new))
+            if len(known) > KEPT_PIECES or chars > KEPT_CHARS:
+                known, chars = {}, 0
+            cols = [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_tokens"])
 
     return run

@@ -93,6 +93,28 @@ def test_token_counts(spark, rng, hard_docs, no_docs):
     assert tokencount.token_counts(no_docs).count() == 0
 
 
+def test_token_counts_encode_a_piece_once(monkeypatch):
+    """Pieces between lone blanks are counted as inside the whole text, and remembered up to a bound."""
+    texts = ["it's a  b", " a b ", "b\u00a0 b\x1c b \x85b", "x <|endoftext|> y<|endoftext|> 's 't", "caf\u00e9 12 . .. \n a\t b", "", " ", "a b a b"] * 3
+    library, seen = Tokenizer.from_file(BYTES_BPE), []
+
+    class Recorder:
+        def encode_batch_fast(self, pieces, add_special_tokens):
+            seen.extend(pieces)
+            return library.encode_batch_fast(pieces, add_special_tokens=add_special_tokens)
+
+    monkeypatch.setattr(tokencount, "tokenizer", lambda path: Recorder())
+    made = {"doc_id": range(len(texts)), "n_bytes": [0] * len(texts), "text": texts}
+    batch = pa.RecordBatch.from_pydict({k: list(v) for k, v in made.items()})
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    for most, times in ((400_000, 1), (0, 2)):
+        seen.clear()
+        monkeypatch.setattr(tokencount, "KEPT_PIECES", most)
+        found = [n for out in tokencount._counts(BYTES_BPE)([batch, batch]) for n in out.column("n_tokens").to_pylist()]
+        assert found == want * 2
+        assert max(Counter(seen).values()) == times
+
+
 def test_sharding(spark, rng, hard_docs, no_docs):
     rows = [(i, "x" * rng.randint(0, 60)) for i in range(300)] + [(5, "same text here")] * 200 + [(6, "y" * k) for k in range(40)]
     rows += [(7, "z" * 5000), (None, "q"), (None, None)]
