@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -79,6 +80,30 @@ def test_encoder_equals_the_library():
         assert mine.tolist() == own.ids, repr(text)
 
 
+def test_encoder_remembers_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 63, 200_000, dtype=np.uint64))
+    sizes = rng.integers(1, 4, len(keys))
+    starts = np.cumsum(sizes) - sizes
+    tracemalloc.start()
+    units = packing.Units()
+    for part in np.array_split(rng.permutation(len(keys)), 20):
+        part = np.sort(part)
+        flat = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in part]).astype(np.uint32)
+        units.add(keys[part], flat, sizes[part])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 60 * len(keys)  # a dict of as many numbers takes more than twice as much
+    ids, found = units.ids_at(units.places(keys))
+    assert found.tolist() == sizes.tolist() and ids.tolist() == list(range(int(sizes.sum())))
+
+    monkeypatch.setattr(packing, "KEPT_UNITS", 40)  # generations that go and units that come again
+    monkeypatch.setattr(packing, "GROUP", 200)
+    texts = [" ".join(f"unit{i % 90}" for i in range(a, a + 30)) for a in range(0, 2000, 7)]
+    library = Tokenizer.from_file(WORDS_BPE).encode_batch(texts, add_special_tokens=False)
+    assert [i.tolist() for i in packing.Encoder(WORDS_BPE).encode(pa.array(texts))] == [c.ids for c in library]
+
+
 def test_token_counts(spark, rng, hard_docs, no_docs):
     texts = [" ".join(words(rng, rng.randint(0, 300))) for _ in range(40)]
     texts += ["x" * 3000, " " * 900 + "a b  c\n\n d " * 200, "a<|endoftext|>b " * 300, "é́ it's  l'été 中文 " * 300, "a " * 2000, None, ""]
