@@ -33,7 +33,6 @@ from shelfcast.llm.masks import in_mask, mask_of
 from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, slices, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
-SUMMED_TOKENS = 4_000_000  # that a task holds at a time, 32 MB
 TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
 PAIR = ("a", "b", "n_a", "n_b", "rare_a", "rare_b")
 SALTS = (0x0, 0x0, 0xE7037ED1A0B428DB)  # the second order only moves the first one's shared tokens
@@ -129,28 +128,6 @@ def _of_nodes(mask_value):
     return run
 
 
-def _token_counts(mask_value):
-    """How often each token occurs in the chosen sets of a task, summed up before rows are given out."""
-
-    def run(batches):
-        waiting, size = [], 0
-
-        def summed():
-            tokens, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts.astype(np.int64))], ["token", "docs"])
-
-        for batch in _of_nodes(mask_value)(batches):
-            waiting += [t.copy() for t in _stored(batch)]
-            size = sum(map(len, waiting))
-            if size > SUMMED_TOKENS:
-                yield summed()
-                waiting = []
-        if waiting:
-            yield summed()
-
-    return run
-
-
 def _prefix_row(key: int, tokens: np.ndarray, order: int, frequent: np.ndarray | None, percent: int) -> tuple:
     rare = 0 if frequent is None else int(len(tokens) - in_mask(tokens, frequent).sum())
     return key, len(tokens), rare, signed(prefix(tokens, order, frequent, percent))
@@ -185,21 +162,6 @@ def _stored_prefixes(percent: int, order: int, mask_value=None, frequent_value=N
     return run
 
 
-def _passing(mask_value):
-    """The index rows whose token passes the mask."""
-
-    def run(batches):
-        for batch in batches:
-            heads = batch.column("head")
-            counts = np.diff(heads.offsets.to_numpy())
-            tokens = heads.flatten().to_numpy()
-            fine = in_mask(tokens, mask_value.value)
-            cols = [np.repeat(batch.column(c).to_numpy(), counts)[fine] for c in ("node", "n", "rare")]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in [tokens[fine], *cols]], ["token", "node", "n", "rare"])
-
-    return run
-
-
 def _verified(percent: int, frequent: list):
     """Keep pairs that share a prefix token under the later orders, too, then those that are similar enough."""
 
@@ -259,14 +221,14 @@ def _list_pairs(lists: DataFrame) -> DataFrame:
 def _shared_lists(heads: DataFrame) -> DataFrame:
     """The token lists with two nodes or more, one row per node, with the list's length ``m``.
 
-    ``heads(node, n, rare, head)``. Most tokens occur once; they are counted in
-    one small shuffle, and a filter of the others keeps them out of the next.
+    ``heads(node, n, rare, head)``. Copies of a set are one row before its tokens
+    are dealt out, and those move once: what moves follows the prefixes, whatever
+    share of their tokens occurs more than once.
     """
-    counts = heads.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-    several = heads.sparkSession.sparkContext.broadcast(mask_of(counts.where("m > 1"), "token", TOKEN_BITS))
-    rows = heads.mapInArrow(_passing(several), "token bigint, node bigint, n bigint, rare bigint").distinct()
-    lengths = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return checkpointed(rows.join(lengths, "token"), "lists")
+    one = heads.groupBy("node").agg(F.first(F.struct("n", "rare", "head")).alias("one"))
+    rows = one.select(F.explode("one.head").alias("token"), "node", "one.n", "one.rare")
+    held = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    return checkpointed(rows.withColumn("m", held).where("m > 1"), "lists")
 
 
 def _stars(lists: DataFrame) -> DataFrame:
@@ -308,7 +270,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
 
     family = send(mask_of(second.where(F.col("m") > SHORT), "node"))
     # Only the sets of long lists are counted and indexed: the second order has given all pairs of the others.
-    counts = sets.mapInArrow(_token_counts(family), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    tokens = sets.mapInArrow(_of_nodes(family), sets.schema).select(F.explode("tokens").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("docs"))
     frequent = send(mask_of(counts.where(F.col("docs") > SHORT), "token"))
     third = _shared_lists(checkpointed(sets.mapInArrow(_stored_prefixes(percent, 2, family, frequent), heads), "heads"))
     fronts = checkpointed(sets.mapInArrow(_stored_prefixes(percent, 0), heads), "fronts")

@@ -72,6 +72,17 @@ def test_one_of_each_class_stays(spark, rng):
     assert kept == {c for _, n, c in classes(rows, 80, 5) if n} | {d for d, n, _ in classes(rows, 80, 5) if not n}
 
 
+def test_token_lists_move_their_rows_once(spark, monkeypatch):
+    rows = [(1, 5, 0, [7, 8, 9]), (1, 5, 0, [7, 8, 9]), (2, 6, 1, [8, 9]), (3, 4, 2, [9, 10]), (4, 4, 2, [11])]
+    heads = spark.createDataFrame(rows, "node long, n long, rare long, head array<long>")
+    monkeypatch.setattr(jaccard, "checkpointed", lambda df, name: df)
+    lists = jaccard._shared_lists(heads)
+    plan = spark._jvm.PythonSQLUtils.explainString(lists._jdf.queryExecution(), "simple")
+    want = [(8, 1, 5, 0, 2), (8, 2, 6, 1, 2), (9, 1, 5, 0, 3), (9, 2, 6, 1, 3), (9, 3, 4, 2, 3)]
+    assert sorted((r.token, r.node, r.n, r.rare, r.m) for r in lists.collect()) == want
+    assert plan.count("Exchange hashpartitioning(token") == 1 and "MapInArrow" not in plan
+
+
 def test_jaccard_hard_rows(spark, hard_docs, no_docs):
     got = jaccard.jaccard_classes(hard_docs).collect()
     assert len(got) == hard_docs.count()
