@@ -16,7 +16,8 @@ in its prefix and drops out, and a long list is mostly one family.
 Its members are linked to the list's most central one, that with the fewest
 rare tokens, so pairs grow with the list and not with its square. Lists that
 still hold several components then give all their pairs between components whose
-frequent tokens alone could suffice, so that no link between components is lost.
+frequent tokens alone could suffice, so that no link between components is lost; two
+that meet in several of these lists are a pair in the first.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.masks import in_mask, mask_of
+from shelfcast.llm.masks import in_mask, mask_of, passing
 from shelfcast.llm.texts import U64, chain, checkpointed, mix, present, row_groups, row_key, signed, slices, split_words, string_buffer
 
 SHORT = 32  # a list up to this length gives all its pairs
+FIRST_LISTS = 64  # of a node's unsettled lists so many are looked through for an earlier meeting
 TOKEN_BITS = 24  # size of the filter of tokens that occur more than once: 2 MB
 PAIR = ("a", "b", "n_a", "n_b", "rare_a", "rare_b")
 SALTS = (0x0, 0x0, 0xE7037ED1A0B428DB)  # the second order only moves the first one's shared tokens
@@ -212,10 +214,25 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _list_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of each list between different components."""
-    one = lists.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("root").alias("root_a"))
-    two = lists.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rare").alias("rare_b"), F.col("root").alias("root_b"))
-    return one.join(two, "token").where("a < b AND root_a <> root_b").select(*PAIR)
+    """All pairs ``a, b`` of each list between different components, with the columns of both."""
+    own = [c for c in lists.columns if c not in ("token", "node")]
+    one, two = (lists.select("token", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in own]) for x in "ab")
+    return one.join(two, "token").where("a < b AND root_a <> root_b")
+
+
+def _with_lists(lists: DataFrame) -> DataFrame:
+    """``lists`` with the node's first lists in the order of their tokens."""
+    own = lists.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST_LISTS).alias("lists"))
+    return lists.join(own, "node")
+
+
+def _meet_first():
+    """For pairs of ``_with_lists``: no list before this one is known to hold both, so members of many lists are not paired in each.
+
+    Spark puts the conditions of a join in its own order; the case keeps the arrays from being compared for pairs that drop out anyway.
+    """
+    meet = "coalesce(array_min(array_intersect(lists_a, lists_b)) >= token, true)"
+    return F.expr(f"CASE WHEN a < b AND root_a <> root_b THEN {meet} ELSE false END")
 
 
 def _shared_lists(heads: DataFrame) -> DataFrame:
@@ -278,12 +295,13 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5) -> Dat
     short = _list_pairs(_labelled(third.where(F.col("m") <= SHORT), None)).where(_could_match(percent)).select("a", "b")
     # A document with too few frequent tokens has no partner in a long list.
     rest = third.where((F.col("m") > SHORT) & (100 * (F.col("n") - F.col("rare")) >= percent * F.col("n")))
-    of_long = lambda pairs: pairs.where(_could_match(percent) & _could_overlap(percent)).select("a", "b")
+    of_long = lambda pairs: pairs.where(_could_match(percent) & _could_overlap(percent))
     verify = lambda pairs, labels: _extend(sets, fronts, pairs, labels, percent, [often, frequent])
-    labels = verify(pairs.unionAll(short).unionAll(of_long(_stars(_labelled(rest, None)))), None)
+    labels = verify(pairs.unionAll(short).unionAll(of_long(_stars(_labelled(rest, None))).select("a", "b")), None)
     rest = _unsettled(rest, labels)
     if not rest.isEmpty():
-        labels = verify(of_long(_list_pairs(_labelled(rest, labels))), labels)
+        open_ = _list_pairs(_with_lists(_labelled(rest, labels)))
+        labels = verify(of_long(open_).where(_meet_first()).select("a", "b"), labels)
     found = members.select("doc_id", "row_key", "node", F.col("n").alias("n_shingles"))
     return _labelled(found, labels)
 
@@ -314,8 +332,8 @@ def _extend(sets, fronts, pairs, labels, percent, frequent):
     """The components after the pairs that hold have been added as links."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = checkpointed(_sharing_enough(pairs, fronts, percent).distinct(), "pairs")
-    ends = pairs.sparkSession.sparkContext.broadcast(mask_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node"))
-    sets = sets.mapInArrow(_of_nodes(ends), sets.schema)
+    # Without Python, so that a task that verifies needs one worker and not two: idle ones keep their memory.
+    sets = passing(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
     checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x_tokens", "y_tokens")

@@ -12,11 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def mask_of(values: DataFrame, column: str, bits: int = 22) -> np.ndarray:
-    """The filter of a bigint column, ``2 ** bits`` bits."""
+def _packed(values: DataFrame, column: str, bits: int) -> DataFrame:
+    """``word, set``: the filter's words of 64 bits that are not all 0."""
     bucket = F.expr(f"{column} & {(1 << bits) - 1}L")
     words = values.where(F.col(column).isNotNull()).select(F.shiftright(bucket, 6).alias("word"), (bucket % 64).cast("int").alias("bit"))
-    packed = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set")).toPandas()
+    return words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
+
+
+def passing(rows: DataFrame, values: DataFrame, column: str, bits: int = 22) -> DataFrame:
+    """The rows whose bigint ``column`` passes the filter of that of ``values``, by Spark alone: the filter's words are broadcast."""
+    words = F.broadcast(_packed(values, column, bits))
+    same = F.expr(f"shiftright({column} & {(1 << bits) - 1}L, 6) = word")
+    return rows.join(words, same & F.expr(f"shiftrightunsigned(set, cast({column} & 63L AS int)) & 1L = 1L"), "left_semi")
+
+
+def mask_of(values: DataFrame, column: str, bits: int = 22) -> np.ndarray:
+    """The filter of a bigint column, ``2 ** bits`` bits."""
+    packed = _packed(values, column, bits).toPandas()
     mask = np.zeros(1 << (bits - 6), np.int64)
     mask[packed["word"].to_numpy(np.int64)] = packed["set"].to_numpy(np.int64)
     return mask.view(np.uint64)

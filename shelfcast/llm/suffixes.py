@@ -224,7 +224,9 @@ def drop_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     spans = repeated_spans(docs, min_words).where("later")
     cuts = spans.groupBy("row_key").agg(F.collect_list(F.struct("start_word", "end_word")).alias("cuts"))
     rows = docs.select(F.struct("*").alias("whole"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row_key"))
-    done = rows.join(cuts, "row_key", "left").withColumn("new_text", without_spans(F.col("whole.text"), F.col("cuts")))
+    # Not deterministic to Spark, which would else cut each text again for the filter, by another Python worker.
+    once = without_spans.asNondeterministic()
+    done = rows.join(cuts, "row_key", "left").withColumn("new_text", once(F.col("whole.text"), F.col("cuts")))
     done = done.where("cuts IS NULL OR new_text RLIKE '[^ \\\\t-\\\\r]'")
     columns = [
         F.when(F.col("cuts").isNull(), F.col(f"whole.`{c}`")).otherwise(_rewritten(c)).alias(c) if c in ("text", "n_chars") else F.col(f"whole.`{c}`")

@@ -83,6 +83,31 @@ def test_token_lists_move_their_rows_once(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning(token") == 1 and "MapInArrow" not in plan
 
 
+def test_pairs_of_long_lists_come_once(spark, monkeypatch):
+    """Two copies of a family that differ in a stretch meet in many lists; each pair is verified once, by one Python worker a task."""
+    pairs, plans = [], []
+    extend, join = jaccard._extend, jaccard.components
+
+    def extended(sets, fronts, some, *rest):
+        pairs.append([tuple(r) for r in some.collect()])
+        return extend(sets, fronts, some, *rest)
+
+    def joined(links):
+        plans.append(spark._jvm.PythonSQLUtils.explainString(links._jdf.queryExecution(), "simple"))
+        return join(links)
+
+    monkeypatch.setattr(jaccard, "_extend", extended)
+    monkeypatch.setattr(jaccard, "components", joined)
+    rng = random.Random(5)
+    base = words(rng, 120)
+    texts = family(rng, base, 60, 3) + family(rng, base[:100] + words(rng, 20), 60, 3)
+    rows = list(enumerate(texts))
+    got = jaccard.jaccard_classes(docs_of(spark, rows), 85, 4).collect()
+    assert sorted(map(tuple, got)) == sorted(classes(rows, 85, 4))
+    assert len(pairs) == 2 and pairs[1] and len(pairs[1]) == len(set(pairs[1]))
+    assert [p.count("MapInArrow") for p in plans] == [1, 1]
+
+
 def test_jaccard_hard_rows(spark, hard_docs, no_docs):
     got = jaccard.jaccard_classes(hard_docs).collect()
     assert len(got) == hard_docs.count()
@@ -191,6 +216,13 @@ def test_cut_text_keeps_the_rest(spark, rng):
     assert got[2] == (text(b, a[:5]), len(text(b, a[:5])))
 
 
+def test_texts_are_cut_by_one_python_worker(spark, rng):
+    passage = words(rng, 60)
+    rest = suffixes.drop_repeats(docs_of(spark, [(i, " ".join([*words(rng, 20), *passage])) for i in range(3)]))
+    plan = spark._jvm.PythonSQLUtils.explainString(rest._jdf.queryExecution(), "simple")
+    assert plan.count("ArrowEvalPython") == 1 and rest.count() == 3
+
+
 def test_passages_hard_rows(spark, hard_docs, no_docs):
     assert suffixes.repeated_spans(hard_docs).count() == 0  # identical rows are one document
     rest = suffixes.drop_repeats(hard_docs)
